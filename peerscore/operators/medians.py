@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from peerscore.session import broadcast_if_small, settle
+from peerscore.session import is_small, settle
 
 CELLS = 4096
 OPEN_ROWS = 1_000_000
@@ -69,40 +69,43 @@ def exact_medians(
     valued = F.when(~F.isnan("_v"), F.col("_v"))
     values = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
-    brackets = settle(
+    is_open = F.col("_lo") < F.col("_hi")
+    widest = F.max(F.when(is_open, F.col("_inside"))).alias("widest")
+    brackets, seen = settle(
         rows.groupBy(*groups).agg(
             F.count("*").alias("group_size"),
             F.count(valued).alias("_inside"),
             F.min(valued).alias("_lo"),
             F.max(valued).alias("_hi"),
-        ).withColumn("_rank", F.expr("(_inside + 1) div 2"))
+        ).withColumn("_rank", F.expr("(_inside + 1) div 2")),
+        widest,
     )
-    is_open = F.col("_lo") < F.col("_hi")
+    small = is_small(seen)
     for _ in range(max_rounds):
-        widest = brackets.filter(is_open).agg(F.max("_inside")).first()[0]
-        if widest is None or widest <= open_rows:
+        if (seen["widest"] or 0) <= open_rows:
             break
         wide = is_open & (F.col("_inside") > open_rows)
         rest = brackets.filter(~F.coalesce(wide, F.lit(False)))
-        brackets = settle(
-            rest.unionByName(_narrow(values, brackets.filter(wide), groups, cells))
-        )
-    return _finish(values, brackets, is_open, groups)
+        narrowed = _narrow(values, brackets.filter(wide), groups, cells, small)
+        brackets, seen = settle(rest.unionByName(narrowed), widest)
+    return _finish(values, brackets, is_open, groups, small)
 
 
-def _inside(values: DataFrame, brackets: DataFrame, groups: list[str]) -> DataFrame:
-    joined = values.join(broadcast_if_small(brackets), groups)
+def _inside(values: DataFrame, brackets: DataFrame, groups: list[str], small: bool) -> DataFrame:
+    joined = values.join(F.broadcast(brackets) if small else brackets, groups)
     return joined.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
 
-def _narrow(values: DataFrame, brackets: DataFrame, groups: list[str], cells: int) -> DataFrame:
+def _narrow(
+    values: DataFrame, brackets: DataFrame, groups: list[str], cells: int, small: bool
+) -> DataFrame:
     """Replace each bracket by the cell that holds its rank; lo and hi become actual values."""
     # Halves keep the width finite even for the widest doubles. An infinite edge leaves one cell.
     width = F.col("_hi") / 2 - F.col("_lo") / 2
     share = F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, width)
     finite = (F.abs("_lo") < float("inf")) & (F.abs("_hi") < float("inf"))
     cell = F.when(finite, F.least(F.floor(share * cells).cast("int"), F.lit(cells - 1)))
-    inside = _inside(values, brackets.drop("_inside"), groups)
+    inside = _inside(values, brackets.drop("_inside"), groups, small)
     counted = (
         inside.withColumn("_cell", F.coalesce(cell, F.lit(0)))
         .groupBy(*groups, "group_size", "_rank", "_cell")
@@ -124,10 +127,12 @@ def _narrow(values: DataFrame, brackets: DataFrame, groups: list[str], cells: in
     )
 
 
-def _finish(values: DataFrame, brackets: DataFrame, is_open: Column, groups: list[str]) -> DataFrame:
+def _finish(
+    values: DataFrame, brackets: DataFrame, is_open: Column, groups: list[str], small: bool
+) -> DataFrame:
     edges = brackets.filter(is_open).select(*groups, "_rank", "_lo", "_hi")
     counted = (
-        _inside(values, edges, groups)
+        _inside(values, edges, groups, small)
         .groupBy(*groups, "_rank", "_v")
         .agg(F.count("*").alias("_count"))
     )
@@ -138,6 +143,6 @@ def _finish(values: DataFrame, brackets: DataFrame, is_open: Column, groups: lis
         .agg(F.min("_v").alias("_picked"))
     )
     # A closed bracket holds one value; that value is the median.
-    return brackets.join(picked, groups, "left").select(
+    return brackets.join(F.broadcast(picked) if small else picked, groups, "left").select(
         *groups, "group_size", F.coalesce("_picked", "_lo").alias("group_median")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.session import broadcast_if_small, fits_broadcast
+from peerscore.session import is_small
 
 BATCH_WINS = "batch_wins"
 NEWEST_WINS = "newest_wins"
@@ -15,15 +15,20 @@ class DuplicateKeys(ValueError):
     pass
 
 
-def duplicate_keys(df: DataFrame, key: str = "place_id") -> DataFrame:
-    """Keys that occur more than once. Counted before the shuffle, so a hot key stays cheap."""
-    return df.groupBy(key).agg(F.count("*").alias("copies")).filter("copies > 1")
+def check_keys(df: DataFrame, key: str = "place_id") -> bool:
+    """Refuse a table that repeats a key; tell whether its keys are small enough to broadcast.
 
-
-def require_unique(df: DataFrame, key: str = "place_id") -> None:
-    found = duplicate_keys(df, key).take(3)
-    if found:
-        raise DuplicateKeys(f"the batch repeats keys, e.g. {[row[key] for row in found]}")
+    One job. Copies of a key are added up before the shuffle, so a hot key stays cheap.
+    """
+    copies = df.groupBy(key).agg(F.count("*").alias("copies"))
+    seen = copies.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 16), F.lit(0)).alias("bytes"),
+        F.max(F.struct("copies", key)).alias("most"),
+    ).first()
+    if seen["rows"] and seen["most"]["copies"] > 1:
+        raise DuplicateKeys(f"key {seen['most'][key]!r} occurs {seen['most']['copies']} times")
+    return is_small(seen.asDict())
 
 
 def first_seen(history: DataFrame, batch: DataFrame, key: str = "place_id") -> DataFrame:
@@ -38,7 +43,8 @@ def first_seen(history: DataFrame, batch: DataFrame, key: str = "place_id") -> D
 
 def carried_over(history: DataFrame, batch: DataFrame, key: str = "place_id") -> DataFrame:
     """History rows whose key is absent from the batch."""
-    return history.join(broadcast_if_small(batch.select(key)), key, "left_anti")
+    keys = batch.select(key)
+    return history.join(F.broadcast(keys) if check_keys(batch, key) else keys, key, "left_anti")
 
 
 def merge(
@@ -46,7 +52,7 @@ def merge(
     batch: DataFrame,
     key: str = "place_id",
     policy: str = BATCH_WINS,
-    broadcast: bool | None = None,
+    always_shuffle: bool = False,
 ) -> DataFrame:
     """Batch rows replace history rows; the earliest first-seen date is kept; nothing else goes.
 
@@ -57,25 +63,24 @@ def merge(
     """
     if policy not in (BATCH_WINS, NEWEST_WINS):
         raise ValueError(f"unknown policy {policy!r}")
-    require_unique(batch, key)
-    keys = batch.select(key)
-    if broadcast is None:
-        broadcast = fits_broadcast(keys)
-    if not broadcast:
-        joined = history.alias("h").join(
-            batch.alias("n"), F.col(f"h.{key}") == F.col(f"n.{key}"), "full_outer"
-        )
+    small = check_keys(batch, key) and not always_shuffle
+    same_key = F.col(f"h.{key}") == F.col(f"n.{key}")
+    if not small:
+        joined = history.alias("h").join(batch.alias("n"), same_key, "full_outer")
         return _resolve(joined, history.columns, key, policy)
 
+    keys = F.broadcast(batch.select(key))
+    untouched = history.join(keys, key, "left_anti")
     # The history keys are unique, so the matched rows are at most as many as the batch rows.
-    small = F.broadcast(keys)
-    matched = history.join(small, key, "left_semi")
-    updated = batch.alias("n").join(
-        matched.alias("h"), F.col(f"h.{key}") == F.col(f"n.{key}"), "left"
-    )
-    return history.join(small, key, "left_anti").unionByName(
-        _resolve(updated, history.columns, key, policy)
+    matched = history.join(keys, key, "left_semi")
+    if policy == NEWEST_WINS:
+        joined = batch.alias("n").join(matched.alias("h"), same_key, "left")
+        return untouched.unionByName(_resolve(joined, history.columns, key, policy))
+    dates = matched.select(key, "first_seen_date")
+    updated = batch.join(dates, key, "left").withColumn(
+        "first_seen_date", F.least("first_seen_date", "ingestion_date")
     )
+    return untouched.unionByName(updated)
 
 
 def _resolve(joined: DataFrame, columns: list[str], key: str, policy: str) -> DataFrame:

@@ -17,7 +17,7 @@ from peerscore.schemas import (
     MIN_REVIEWS,
     SMALL_DISTRICT,
 )
-from peerscore.session import broadcast_if_small, settle
+from peerscore.session import settle_for_join
 
 # How the medians are found: on a fixed scale, for any numbers, or approximately.
 MEDIANS: dict[str, Callable[[DataFrame, list[str], str], DataFrame]] = {
@@ -66,7 +66,7 @@ def score_places(
     shuffled as long as the measured district table is small enough to broadcast. A place whose
     review count is NULL, or a candidate whose district is NULL, is in neither result.
     """
-    stats = broadcast_if_small(settle(district_stats(silver, min_reviews, method)))
+    stats = settle_for_join(district_stats(silver, min_reviews, method))
     places = add_category(silver)
     candidate = F.col("user_rating_count") >= min_reviews
     trusted = F.col("khet_candidate_count") >= min_places
@@ -92,10 +92,11 @@ def score_places(
 
 def small_groups(silver: DataFrame, min_places: int = MIN_PLACES) -> DataFrame:
     """Candidates of districts with too few candidates for a median."""
-    stats = settle(district_stats(silver).filter(F.col("khet_candidate_count") < min_places))
+    small = F.col("khet_candidate_count") < min_places
+    stats = settle_for_join(district_stats(silver).filter(small))
     return (
         silver.filter(F.col("user_rating_count") >= MIN_REVIEWS)
-        .join(broadcast_if_small(stats), "khet")
+        .join(stats, "khet")
         .select("place_id", "khet", "khet_candidate_count")
     )
 
@@ -122,7 +123,7 @@ def gap_to_group_median(
     """
     enough = F.col(support) >= min_support if support else F.lit(True)
     candidates = df.filter(enough & F.col(group).isNotNull())
-    stats = settle(MEDIANS[method](candidates, [group], measure))
+    stats = settle_for_join(MEDIANS[method](candidates, [group], measure))
     large = F.col("group_size") >= min_group
     outcome = (
         F.when(~enough, "low_support").when(enough & large, "scored")
@@ -131,7 +132,7 @@ def gap_to_group_median(
     scored = F.col("outcome") == "scored"
     return (
         df.select(key, group, measure, *([support] if support else []))
-        .join(broadcast_if_small(stats), group, "left")
+        .join(stats, group, "left")
         .withColumn("outcome", outcome)
         .select(
             key, group, measure, "group_size",

@@ -191,7 +191,7 @@ def sweep_stats(spark: SparkSession, grid: Grid, results: DataFrame) -> DataFram
     """
     returned = results.groupBy("i", "j").agg(F.count("*").alias("returned"))
     new = first_found(results).groupBy("i", "j").agg(F.count("*").alias("new"))
-    counted = settle(
+    counted, _ = settle(
         tiles(spark, grid)
         .join(returned, ["i", "j"], "left")
         .join(new, ["i", "j"], "left")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.operators.merge import BATCH_WINS, merge, require_unique
+from peerscore.operators.merge import BATCH_WINS, check_keys, merge
 from peerscore.operators.quality import gold_checks, require, silver_checks
 from peerscore.operators.scoring import score_places
 from peerscore.operators.silver import RULES, clean, first_version
@@ -70,7 +70,7 @@ def build_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_W
     """Stage the next silver version from the current one and a stored batch."""
     history = silver.read()
     if history is None:
-        require_unique(batch)
+        check_keys(batch)
         return silver.stage(first_version(batch))
     return silver.stage(merge(history, batch, policy=policy))
 

@@ -13,7 +13,7 @@ from peerscore.operators import quality, scoring, silver, tiles
 from peerscore.plans import tables
 from peerscore.plans.pipeline import SCORED, UNQUALIFIED, PipelineConfig, run_pipeline
 from peerscore.plans.pipeline import build_silver as add_batch
-from peerscore.plans.tables import RUN_DATE, batches, raw_places, silver_places
+from peerscore.plans.tables import RUN_DATE, batches, raw_places, silver_places, silver_rows
 from peerscore.session import scratch_path, stage
 from peerscore.sources import bronze, catalog
 from peerscore.sources.versions import VersionedTable
@@ -209,39 +209,39 @@ def _merged(df):
 @query
 def merge_first_run(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
-    table.promote(add_batch(table, batches(spark, sf_dir)[0]))
+    table.promote(add_batch(table, batches(spark, sf_dir, 1)[0]))
     return _merged(table.read())
 
 
 @query
 def merge_carryover(spark, sf_dir):
-    first, second, _ = batches(spark, sf_dir)
+    first, second = batches(spark, sf_dir, 2)
     kept = merging.carried_over(silver.first_version(first), second)
     return kept.select("place_id", "rating", "user_rating_count")
 
 
 @query
 def first_seen(spark, sf_dir):
-    first, second, _ = batches(spark, sf_dir)
+    first, second = batches(spark, sf_dir, 2)
     return _dated(merging.first_seen(silver.first_version(first), second), "first_seen_date")
 
 
 @query
 def silver_merge(spark, sf_dir):
-    first, second, _ = batches(spark, sf_dir)
+    first, second = batches(spark, sf_dir, 2)
     return _merged(merging.merge(silver.first_version(first), second))
 
 
 @query
 def silver_merge_shuffled(spark, sf_dir):
-    first, second, _ = batches(spark, sf_dir)
-    return _merged(merging.merge(silver.first_version(first), second, broadcast=False))
+    first, second = batches(spark, sf_dir, 2)
+    return _merged(merging.merge(silver.first_version(first), second, always_shuffle=True))
 
 
 @query
 def silver_table(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
-    for batch in batches(spark, sf_dir):
+    for batch in batches(spark, sf_dir, 3):
         table.promote(add_batch(table, batch))
     return _merged(table.read())
 
@@ -250,17 +250,17 @@ def silver_table(spark, sf_dir):
 
 @query
 def category(spark, sf_dir):
-    return scoring.add_category(silver_places(spark, sf_dir)).select("place_id", "category")
+    return scoring.add_category(silver_rows(spark, sf_dir)).select("place_id", "category")
 
 
 @query
 def category_counts(spark, sf_dir):
-    return scoring.category_counts(silver_places(spark, sf_dir))
+    return scoring.category_counts(silver_rows(spark, sf_dir))
 
 
 @query
 def district_stats(spark, sf_dir):
-    return scoring.district_stats(silver_places(spark, sf_dir))
+    return scoring.district_stats(silver_rows(spark, sf_dir))
 
 
 @query
@@ -270,7 +270,7 @@ def district_stats_exact(spark, sf_dir):
 
 @query
 def district_stats_approx(spark, sf_dir):
-    return scoring.district_stats(silver_places(spark, sf_dir), method="approx")
+    return scoring.district_stats(silver_rows(spark, sf_dir), method="approx")
 
 
 @query
@@ -330,7 +330,7 @@ def gap_event_type(spark, sf_dir):
 
 @query
 def gate_silver(spark, sf_dir):
-    return quality.silver_checks(silver_places(spark, sf_dir))
+    return quality.silver_checks(silver_rows(spark, sf_dir))
 
 
 @query

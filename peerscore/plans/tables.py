@@ -67,9 +67,14 @@ def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows of a first run, for queries that read them once."""
+    return first_version(clean(raw_places(spark, sf_dir), RUN_DATE))
+
+
 def silver_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored silver table of a first run."""
-    return stage(first_version(clean(raw_places(spark, sf_dir), RUN_DATE)), "silver")
+    """The same as a stored table, for queries that read it more than once."""
+    return stage(silver_rows(spark, sf_dir), "silver")
 
 
 def located_places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,11 +119,8 @@ def sightings(
     )
 
 
-def batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Three stored batches in date order; most places appear in several."""
+def batches(spark: SparkSession, sf_dir: str, count: int) -> list[DataFrame]:
+    """The first stored batches in date order; most places appear in several."""
     first, second, third = BATCH_DATES
-    return [
-        stage(sightings(spark, sf_dir, first, end=HISTORY_END), "batch"),
-        stage(sightings(spark, sf_dir, second, HISTORY_END, SECOND_END), "batch"),
-        stage(sightings(spark, sf_dir, third, SECOND_END), "batch"),
-    ]
+    spans = [(first, None, HISTORY_END), (second, HISTORY_END, SECOND_END), (third, SECOND_END, None)]
+    return [stage(sightings(spark, sf_dir, *span), "batch") for span in spans[:count]]

@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType
 
 # A table is broadcast only when it has been measured to stay below both bounds.
 BROADCAST_ROWS = 2_000_000
@@ -35,10 +35,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Run a small derived table once; a reliable checkpoint survives the loss of executors."""
+def _size(df: DataFrame) -> list[Column]:
+    """Rows and bytes of a table, as aggregates."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema:
+        if isinstance(field.dataType, StringType):
+            width += F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif not isinstance(field.dataType, (NumericType, DateType, BooleanType)):
+            raise TypeError(f"no size rule for {field.name}: {field.dataType}")
+    return [F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+
+
+def is_small(size: dict) -> bool:
+    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+
+
+def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+    """Run a derived table once; its size and further metrics are counted on the way.
+
+    A reliable checkpoint cuts the lineage and survives the loss of executors.
+    """
     scratch_root(df.sparkSession)
-    return df.checkpoint()
+    seen = Observation()
+    settled = df.observe(seen, *_size(df), *metrics).checkpoint()
+    return settled, seen.get
+
+
+def settle_for_join(df: DataFrame) -> DataFrame:
+    """Settle the lesser side of a join, to be broadcast only if it was measured to be small.
+
+    Beyond the bounds the join shuffles, and adaptive execution splits the hot keys.
+    """
+    settled, size = settle(df)
+    return F.broadcast(settled) if is_small(size) else settled
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -46,21 +75,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure rows and bytes in one aggregate. Call it on settled or stored tables."""
-    width = F.lit(16 * len(df.columns)).cast("long")
-    for field in df.schema:
-        if isinstance(field.dataType, StringType):
-            width += F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, ArrayType):
-            width += F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
-    seen = df.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
-    return seen["rows"] <= rows and (seen["bytes"] or 0) <= size
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast a measured table; beyond the bounds the join shuffles, and adaptive execution
-    splits the hot keys."""
-    return F.broadcast(df) if fits_broadcast(df) else df
