@@ -98,6 +98,16 @@ def _distance(grid: Grid, i: Column, j: Column) -> Column:
     return metres_between(F.col("latitude"), F.col("longitude"), grid.lat(i), grid.lon(i, j))
 
 
+def _in_band(grid: Grid, i: Column) -> Column:
+    """No circle reaches further north or south than its radius; 111 km is less than a degree."""
+    return F.abs(F.col("latitude") - grid.lat(i)) <= grid.radius_m / 111_000
+
+
+def _reached(grid: Grid, i: Column, j: Column) -> Column:
+    is_row = (i >= 0) & (i <= grid.last_row)
+    return is_row & _in_band(grid, i) & (_distance(grid, i, j) <= grid.radius_m)
+
+
 def tile_members(places: DataFrame, grid: Grid) -> DataFrame:
     """(place, tile) pairs where the place lies within the tile's circle.
 
@@ -108,7 +118,7 @@ def tile_members(places: DataFrame, grid: Grid) -> DataFrame:
     on_rows = places.withColumn("_i", _first_row(grid)).select(
         *places.columns, F.explode(F.array(F.col("_i"), F.col("_i") + 1)).alias("i")
     )
-    on_tiles = on_rows.withColumn("_j", _first_column(grid, i)).select(
+    on_tiles = on_rows.filter(_in_band(grid, i)).withColumn("_j", _first_column(grid, i)).select(
         *places.columns, "i", F.explode(F.array(F.col("_j"), F.col("_j") + 1)).alias("j")
     )
     return (
@@ -119,25 +129,27 @@ def tile_members(places: DataFrame, grid: Grid) -> DataFrame:
 
 
 def uncovered(places: DataFrame, grid: Grid) -> DataFrame:
-    """Places outside every circle, with the distance to the nearest centre around them.
+    """Places outside every circle, decided on the place's own row, without a join.
 
-    A filter on four distances per place; nothing is joined. The distance is NULL where no tile
-    lies around the place.
+    In each of the two tile rows around a place, the nearest column is the one to test. The
+    one-element explode keeps the optimizer from copying the distances into the filter, past the
+    size the JVM compiles.
     """
-    near = []
-    columns = places.columns
-    cells = places.withColumn("_i0", _first_row(grid))
-    for up in (0, 1):
-        i = F.col("_i0") + up
-        cells = cells.withColumn(f"_j{up}", _first_column(grid, i))
-        for right in (0, 1):
-            j = F.col(f"_j{up}") + right
-            near.append(F.when(_is_tile(grid, i, j), _distance(grid, i, j)))
+    def nearest_column(i: Column) -> Column:
+        steps = F.round((F.col("longitude") - grid.min_lon) / grid.lon_step(i)).try_cast("int")
+        return F.greatest(F.least(steps, grid.last_column(i)), F.lit(0))
+
+    rows = {up: F.col("_i") + up for up in (0, 1)}
+    cells = places.withColumn("_i", _first_row(grid)).withColumns(
+        {f"_j{up}": nearest_column(i) for up, i in rows.items()}
+    )
+    covered = [F.coalesce(_reached(grid, i, F.col(f"_j{up}")), F.lit(False)) for up, i in rows.items()]
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     return (
-        cells.withColumn("nearest_m", F.least(*near))
-        .filter(F.col("nearest_m").isNull() | (F.col("nearest_m") > grid.radius_m))
-        .filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        .select(*columns, "nearest_m")
+        cells.filter(located)
+        .select(*places.columns, F.explode(F.array(covered[0] | covered[1])).alias("_covered"))
+        .filter(~F.col("_covered"))
+        .drop("_covered")
     )
 
 
