@@ -19,7 +19,7 @@ HEADLINE = [
     "bronze_scan", "tile_topk", "sweep_stats", "silver_flatten", "drop_funnel", "silver_merge",
     "silver_merge_shuffled", "silver_table", "district_stats", "district_stats_exact",
     "gold_scored", "gold_unqualified", "gap_customer_nation", "gap_part_brand", "gap_event_type",
-    "gate_silver", "gate_gold", "publish_counts", "pipeline_run",
+    "gate_silver", "gate_gold", "publish_counts", "full_run",
 ]
 
 

@@ -12,7 +12,7 @@ from peerscore.session import is_small, settle
 
 CELLS = 4096
 OPEN_ROWS = 1_000_000
-MAX_ROUNDS = 8
+INFINITY = float("inf")
 
 
 def _running(count: str, groups: list[str], order: str) -> Column:
@@ -53,16 +53,19 @@ def exact_medians(
     measure: str,
     cells: int = CELLS,
     open_rows: int = OPEN_ROWS,
-    max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
     """Group size and exact median for a numeric measure with any number of distinct values.
 
     Each group keeps a bracket [lo, hi] known to hold its median, and the rank of the median
-    inside it. A round counts the values of every open bracket in ``cells`` equal cells, with
-    partial counts before the shuffle, and narrows the bracket to the cell that holds the rank;
-    no task sees more than ``cells`` rows of a group. Rounds go on while some bracket holds more
-    than ``open_rows`` rows. The rest is ranked as (value, count) rows, which stays exact even
-    where the rounds made no progress. NULL and NaN count towards the size, not the median.
+    inside it. A round counts the values of every wide bracket in cells, with partial counts
+    before the shuffle, and narrows the bracket to the cell that holds the rank; no task sees more
+    than ``cells`` rows of a group. Rounds go on until no bracket with two different values holds
+    more than ``open_rows`` rows, and what is left is ranked as (value, count) rows.
+
+    Cells are equally wide, and as long as a round leaves less than an eighth of the rows, few
+    rounds are needed. A bracket that once shrinks less is first split by sign, then into cells
+    of equal ratio, and at last, between lo and 2 lo, equally again: with 4096 cells, 1 + 1 + 5
+    rounds reach a single value for any doubles. NULL and NaN count towards the size, not the median.
     """
     present = reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in groups])
     rows = df.filter(present).select(*groups, F.col(measure).cast("double").alias("_v"))
@@ -77,13 +80,11 @@ def exact_medians(
             F.count(valued).alias("_inside"),
             F.min(valued).alias("_lo"),
             F.max(valued).alias("_hi"),
-        ).withColumn("_rank", F.expr("(_inside + 1) div 2")),
+        ).withColumns({"_rank": F.expr("(_inside + 1) div 2"), "_uneven": F.lit(False)}),
         widest,
     )
     small = is_small(seen)
-    for _ in range(max_rounds):
-        if (seen["widest"] or 0) <= open_rows:
-            break
+    while (seen["widest"] or 0) > open_rows:
         wide = is_open & (F.col("_inside") > open_rows)
         rest = brackets.filter(~F.coalesce(wide, F.lit(False)))
         narrowed = _narrow(values, brackets.filter(wide), groups, cells, small)
@@ -91,6 +92,25 @@ def exact_medians(
     return _finish(values, brackets, is_open, groups, small)
 
 
+def _side(value: Column) -> Column:
+    """-2, -1, 0, 1, 2 for minus infinity, negative, zero, positive and infinity."""
+    sign = F.signum(value).cast("int")
+    return F.when(F.abs(value) == INFINITY, sign * 2).otherwise(sign)
+
+
+def _cell(cells: int) -> Column:
+    """Number of the cell a value falls into; it never decreases as the value grows."""
+    lo, hi, value = F.col("_lo"), F.col("_hi"), F.col("_v")
+    equal = F.try_divide(value - lo, hi - lo)
+    ratio = F.try_divide(F.ln(F.abs(value)) - F.ln(F.abs(lo)), F.ln(F.abs(hi)) - F.ln(F.abs(lo)))
+    steep = (F.abs(hi) / 2 > F.abs(lo)) | (F.abs(lo) / 2 > F.abs(hi))
+    share = F.when(F.col("_uneven") & steep, ratio).otherwise(equal)
+    # The difference of the widest doubles overflows; such a bracket is left whole, thus uneven.
+    number = F.floor(F.nanvl(F.coalesce(share, F.lit(0.0)), F.lit(0.0)) * cells).cast("int")
+    by_sign = F.col("_uneven") & (_side(lo) != _side(hi))
+    return F.when(by_sign, _side(value)).otherwise(F.least(number, F.lit(cells - 1)))
+
+
 def _inside(values: DataFrame, brackets: DataFrame, groups: list[str], small: bool) -> DataFrame:
     joined = values.join(F.broadcast(brackets) if small else brackets, groups)
     return joined.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
@@ -100,15 +120,12 @@ def _narrow(
     values: DataFrame, brackets: DataFrame, groups: list[str], cells: int, small: bool
 ) -> DataFrame:
     """Replace each bracket by the cell that holds its rank; lo and hi become actual values."""
-    # Halves keep the width finite even for the widest doubles. An infinite edge leaves one cell.
-    width = F.col("_hi") / 2 - F.col("_lo") / 2
-    share = F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, width)
-    finite = (F.abs("_lo") < float("inf")) & (F.abs("_hi") < float("inf"))
-    cell = F.when(finite, F.least(F.floor(share * cells).cast("int"), F.lit(cells - 1)))
-    inside = _inside(values, brackets.drop("_inside"), groups, small)
+    edge = (F.abs("_lo") == INFINITY) | (F.abs("_hi") == INFINITY)
+    wide = brackets.withColumn("_uneven", F.col("_uneven") | edge)
+    keys = [*groups, "group_size", "_rank", "_inside", "_uneven"]
     counted = (
-        inside.withColumn("_cell", F.coalesce(cell, F.lit(0)))
-        .groupBy(*groups, "group_size", "_rank", "_cell")
+        _inside(values, wide, groups, small)
+        .groupBy(*keys, _cell(cells).alias("_cell"))
         .agg(
             F.count("*").alias("_count"),
             F.min("_v").alias("_lo"),
@@ -123,6 +140,7 @@ def _narrow(
             *groups, "group_size", "_lo", "_hi",
             F.col("_count").alias("_inside"),
             (F.col("_rank") - before).alias("_rank"),
+            (F.col("_uneven") | (F.col("_count") * 8 > F.col("_inside"))).alias("_uneven"),
         )
     )
 

@@ -360,7 +360,7 @@ ORACLE["gold_overlap"] = _with(MISMATCHED,
 # -- publishing and whole runs ---------------------------------------------------------------
 
 ORACLE["publish_scored"] = ORACLE["gold_scored"]
-ORACLE["pipeline_run"] = ORACLE["gold_scored"]
+ORACLE["full_run"] = ORACLE["gold_scored"]
 ORACLE["publish_counts"] = _with(GOLD, """
 SELECT 'scored_places' AS table_name, count(*) AS rows FROM scored
 UNION ALL SELECT 'unqualified_places', count(*) FROM unqualified""")

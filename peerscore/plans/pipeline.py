@@ -13,6 +13,7 @@ from peerscore.operators.quality import gold_checks, require, silver_checks
 from peerscore.operators.scoring import score_places
 from peerscore.operators.silver import RULES, clean, first_version
 from peerscore.session import scratch_path
+from peerscore.sources import files
 from peerscore.sources.bronze import checked_date, read_bronze
 from peerscore.sources.catalog import ensure_database, publish_all
 from peerscore.sources.versions import VersionedTable
@@ -55,15 +56,13 @@ class PipelineReport:
     dropped: dict[str, int] = field(default_factory=dict)
 
 
-def build_batch(spark: SparkSession, bronze: DataFrame, run_date: str) -> tuple[DataFrame, dict]:
-    """Clean one snapshot into a stored batch in a single pass; counts come with the write."""
+def write_batch(bronze: DataFrame, run_date: str, path: str) -> dict:
+    """Clean one snapshot in a single pass; returns the counts taken on the way."""
     seen = Observation()
-    path = scratch_path(spark, "batch")
     clean(bronze, run_date, seen).write.parquet(path)
-    counts = seen.get
-    if counts["corrupt"]:
-        raise CorruptInput(f"{counts['corrupt']} raw records do not parse; nothing was merged")
-    return spark.read.parquet(path), counts
+    if seen.get["corrupt"]:
+        raise CorruptInput(f"{seen.get['corrupt']} raw records do not parse; nothing was merged")
+    return seen.get
 
 
 def build_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WINS) -> str:
@@ -80,12 +79,16 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     their gate before either is promoted or published."""
     report = PipelineReport()
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
-    batch, counts = build_batch(spark, bronze, cfg.run_date)
+    silver = VersionedTable(spark, cfg.silver_path)
+    batch_path = scratch_path(spark, "batch")
+    try:
+        counts = write_batch(bronze, cfg.run_date, batch_path)
+        silver_version = build_silver(silver, spark.read.parquet(batch_path), cfg.policy)
+    finally:
+        files.remove(spark, batch_path)
     report.rows |= {"bronze": counts["rows"], "batch": counts["kept"]}
     report.dropped |= {rule: counts[rule] for rule in RULES}
 
-    silver = VersionedTable(spark, cfg.silver_path)
-    silver_version = build_silver(silver, batch, cfg.policy)
     places = spark.read.parquet(silver_version)
     require("silver", silver_checks(places))
     silver.promote(silver_version)

@@ -394,7 +394,7 @@ def _run(spark, sf_dir):
 
 
 @query
-def pipeline_run(spark, sf_dir):
+def full_run(spark, sf_dir):
     cfg, _ = _run(spark, sf_dir)
     return VersionedTable(spark, cfg.gold(SCORED)).read()
 
