@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.operators.merge import BATCH_WINS, check_keys, merge
@@ -65,60 +65,64 @@ def write_batch(bronze: DataFrame, run_date: str, path: str) -> dict:
     return seen.get
 
 
-def build_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WINS) -> str:
-    """Stage the next silver version from the current one and a stored batch."""
-    history = silver.read()
+def next_silver(
+    history: DataFrame | None, batch: DataFrame, policy: str = BATCH_WINS
+) -> DataFrame:
+    """The silver rows after a stored batch; without a history it is the first run."""
     if history is None:
         check_keys(batch)
-        return silver.stage(first_version(batch))
-    return silver.stage(merge(history, batch, policy=policy))
+        return first_version(batch)
+    return merge(history, batch, policy=policy)
+
+
+def _stage(table: VersionedTable, df: DataFrame, *metrics: Column) -> tuple[str, dict]:
+    """Write the next version and count its rows on the way."""
+    seen = Observation()
+    path = table.stage(df.observe(seen, F.count("*").alias("rows"), *metrics))
+    return path, seen.get
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     """One whole run. Each version is gated before it becomes visible, and both gold tables pass
     their gate before either is promoted or published."""
     report = PipelineReport()
-    bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     silver = VersionedTable(spark, cfg.silver_path)
+    bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     batch_path = scratch_path(spark, "batch")
     try:
         counts = write_batch(bronze, cfg.run_date, batch_path)
-        silver_version = build_silver(silver, spark.read.parquet(batch_path), cfg.policy)
+        batch = spark.read.parquet(batch_path)
+        silver_version, merged = _stage(silver, next_silver(silver.read(), batch, cfg.policy))
     finally:
         files.remove(spark, batch_path)
-    report.rows |= {"bronze": counts["rows"], "batch": counts["kept"]}
+    report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": merged["rows"]}
     report.dropped |= {rule: counts[rule] for rule in RULES}
 
     places = spark.read.parquet(silver_version)
     require("silver", silver_checks(places))
     silver.promote(silver_version)
-    report.rows["silver"] = places.count()
 
-    tables = {}
-    versions = {}
+    other = F.count_if(F.col("category") == "other").alias("other")
+    gold = {}
     for name, df in zip((SCORED, UNQUALIFIED), score_places(places), strict=True):
         table = VersionedTable(spark, cfg.gold(name))
-        versions[name] = (table, table.stage(df))
-        tables[name] = spark.read.parquet(versions[name][1])
-        report.rows[name] = tables[name].count()
-    require("gold", gold_checks(tables[SCORED], tables[UNQUALIFIED]))
-    for table, version in versions.values():
-        table.promote(version)
+        gold[name] = (table, *_stage(table, df, other))
+    report.rows |= {name: seen["rows"] for name, (_, _, seen) in gold.items()}
     # Places with a NULL review count or district are in neither gold table.
     report.dropped["neither_gold_table"] = (
         report.rows["silver"] - report.rows[SCORED] - report.rows[UNQUALIFIED]
     )
-    _warn_other(tables)
+    others = sum(seen["other"] for _, _, seen in gold.values())
+    if others:
+        log.warning("%d places are neither cafe nor bakery", others)
 
+    tables = {name: spark.read.parquet(version) for name, (_, version, _) in gold.items()}
+    require("gold", gold_checks(tables[SCORED], tables[UNQUALIFIED]))
+    for table, version, _ in gold.values():
+        table.promote(version)
     if cfg.database:
         ensure_database(spark, cfg.database, cfg.database_location)
         publish_all(tables, cfg.database)
-    for table in (silver, *(t for t, _ in versions.values())):
+    for table in (silver, *(table for table, _, _ in gold.values())):
         table.prune(cfg.keep_versions)
     return report
-
-
-def _warn_other(tables: dict[str, DataFrame]) -> None:
-    other = sum(df.filter(F.col("category") == "other").count() for df in tables.values())
-    if other:
-        log.warning("%d places are neither cafe nor bakery", other)

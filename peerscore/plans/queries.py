@@ -11,8 +11,13 @@ from peerscore.functions import address_parts, district, has_thai, in_region, pr
 from peerscore.operators import merge as merging
 from peerscore.operators import quality, scoring, silver, tiles
 from peerscore.plans import tables
-from peerscore.plans.pipeline import SCORED, UNQUALIFIED, PipelineConfig, run_pipeline
-from peerscore.plans.pipeline import build_silver as add_batch
+from peerscore.plans.pipeline import (
+    SCORED,
+    UNQUALIFIED,
+    PipelineConfig,
+    next_silver,
+    run_pipeline,
+)
 from peerscore.plans.tables import RUN_DATE, batches, raw_places, silver_places, silver_rows
 from peerscore.session import scratch_path, stage
 from peerscore.sources import bronze, catalog
@@ -209,7 +214,7 @@ def _merged(df):
 @query
 def merge_first_run(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
-    table.promote(add_batch(table, batches(spark, sf_dir, 1)[0]))
+    table.replace(next_silver(table.read(), batches(spark, sf_dir, 1)[0]))
     return _merged(table.read())
 
 
@@ -242,7 +247,7 @@ def silver_merge_shuffled(spark, sf_dir):
 def silver_table(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
     for batch in batches(spark, sf_dir, 3):
-        table.promote(add_batch(table, batch))
+        table.replace(next_silver(table.read(), batch))
     return _merged(table.read())
 
 

@@ -22,12 +22,12 @@ def scratch_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if root:
-        return root
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="peerscore-")
-    sc.setCheckpointDir(root)
+    if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="peerscore-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

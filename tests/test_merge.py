@@ -6,7 +6,7 @@ import pytest
 
 from peerscore.operators import merge as m
 from peerscore.operators.silver import first_version
-from peerscore.plans.pipeline import build_silver
+from peerscore.plans.pipeline import next_silver
 from peerscore.sources.versions import VersionedTable
 from tests.helpers import plan, silver_row, silver_table
 
@@ -101,7 +101,7 @@ def test_consecutive_runs_on_one_table(spark, tmp_path):
             ratings = {f"p{i}": rng.randint(10, 50) / 10 for i in rng.sample(range(40), 20)}
         for k, v in ratings.items():
             expected[k] = (v, date, expected[k][2] if k in expected else date)
-        table.promote(build_silver(table, batch(spark, date, **ratings)))
+        table.replace(next_silver(table.read(), batch(spark, date, **ratings)))
         assert facts(table.read()) == expected
 
 
