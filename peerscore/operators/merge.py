@@ -52,18 +52,19 @@ def merge(
     batch: DataFrame,
     key: str = "place_id",
     policy: str = BATCH_WINS,
-    always_shuffle: bool = False,
+    full_outer: bool = False,
 ) -> DataFrame:
     """Batch rows replace history rows; the earliest first-seen date is kept; nothing else goes.
 
     Both inputs should be stored tables with unique, non-null keys: a batch that repeats a key is
     refused. A batch whose keys were measured to be small is broadcast, and the history is not
-    shuffled at all; otherwise one full outer join shuffles both sides once by the key.
+    shuffled at all; otherwise, or if ``full_outer`` asks for it, one full outer join moves both
+    sides once by the key, and not even the history where that is bucketed by the key.
     ``newest_wins`` keeps the history row where it has the later ingestion date.
     """
     if policy not in (BATCH_WINS, NEWEST_WINS):
         raise ValueError(f"unknown policy {policy!r}")
-    small = check_keys(batch, key) and not always_shuffle
+    small = check_keys(batch, key) and not full_outer
     same_key = F.col(f"h.{key}") == F.col(f"n.{key}")
     if not small:
         joined = history.alias("h").join(batch.alias("n"), same_key, "full_outer")

@@ -255,6 +255,7 @@ GROUP BY place_id""")
 ORACLE["silver_merge"] = _with(BATCHES, _latest(2))
 ORACLE["silver_merge_shuffled"] = ORACLE["silver_merge"]
 ORACLE["silver_table"] = _with(BATCHES, _latest(3))
+ORACLE["silver_table_bucketed"] = ORACLE["silver_table"]
 
 
 # -- gold ------------------------------------------------------------------------------------

@@ -39,6 +39,7 @@ class PipelineConfig:
     multi_line: bool = False
     policy: str = BATCH_WINS
     keep_versions: int = 2
+    silver_buckets: int = 0
 
     def __post_init__(self):
         for name in ("bronze_path", "silver_path", "gold_path"):
@@ -65,14 +66,13 @@ def write_batch(bronze: DataFrame, run_date: str, path: str) -> dict:
     return seen.get
 
 
-def next_silver(
-    history: DataFrame | None, batch: DataFrame, policy: str = BATCH_WINS
-) -> DataFrame:
-    """The silver rows after a stored batch; without a history it is the first run."""
+def next_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WINS) -> DataFrame:
+    """The silver rows after a stored batch; without a current version it is the first run."""
+    history = silver.read()
     if history is None:
         check_keys(batch)
         return first_version(batch)
-    return merge(history, batch, policy=policy)
+    return merge(history, batch, policy=policy, full_outer=silver.is_aligned())
 
 
 def _stage(table: VersionedTable, df: DataFrame, *metrics: Column) -> tuple[str, dict]:
@@ -86,13 +86,13 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     """One whole run. Each version is gated before it becomes visible, and both gold tables pass
     their gate before either is promoted or published."""
     report = PipelineReport()
-    silver = VersionedTable(spark, cfg.silver_path)
+    silver = VersionedTable(spark, cfg.silver_path, cfg.silver_buckets)
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     batch_path = scratch_path(spark, "batch")
     try:
         counts = write_batch(bronze, cfg.run_date, batch_path)
         batch = spark.read.parquet(batch_path)
-        silver_version, merged = _stage(silver, next_silver(silver.read(), batch, cfg.policy))
+        silver_version, merged = _stage(silver, next_silver(silver, batch, cfg.policy))
     finally:
         files.remove(spark, batch_path)
     report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": merged["rows"]}

@@ -214,7 +214,7 @@ def _merged(df):
 @query
 def merge_first_run(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
-    table.replace(next_silver(table.read(), batches(spark, sf_dir, 1)[0]))
+    table.replace(next_silver(table, batches(spark, sf_dir, 1)[0]))
     return _merged(table.read())
 
 
@@ -240,14 +240,22 @@ def silver_merge(spark, sf_dir):
 @query
 def silver_merge_shuffled(spark, sf_dir):
     first, second = batches(spark, sf_dir, 2)
-    return _merged(merging.merge(silver.first_version(first), second, always_shuffle=True))
+    return _merged(merging.merge(silver.first_version(first), second, full_outer=True))
 
 
 @query
 def silver_table(spark, sf_dir):
     table = VersionedTable(spark, scratch_path(spark, "silver-table"))
     for batch in batches(spark, sf_dir, 3):
-        table.replace(next_silver(table.read(), batch))
+        table.replace(next_silver(table, batch))
+    return _merged(table.read())
+
+
+@query
+def silver_table_bucketed(spark, sf_dir):
+    table = VersionedTable(spark, scratch_path(spark, "silver-table"), buckets=16)
+    for batch in batches(spark, sf_dir, 3):
+        table.replace(next_silver(table, batch))
     return _merged(table.read())
 
 

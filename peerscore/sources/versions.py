@@ -7,6 +7,7 @@ fails, leaves a version without a marker, which readers ignore.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from peerscore.sources import files
 
 READY = "_READY"
+BUCKETS = "_BUCKETS_"
 
 
 @dataclass(frozen=True)
 class VersionedTable:
     spark: SparkSession
     root: str
+    buckets: int = 0
+    key: str = "place_id"
 
     def __post_init__(self):
         object.__setattr__(self, "root", self.root.rstrip("/"))
@@ -45,14 +49,53 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         path = self.current()
-        return None if path is None else self.spark.read.parquet(path)
+        return None if path is None else self.open(path)
+
+    def open(self, path: str) -> DataFrame:
+        """One version, with its bucketing if it has any."""
+        count = self._bucket_count(path)
+        if not count:
+            return self.spark.read.parquet(path)
+        name = self._entry(path)
+        if not self.spark.catalog.tableExists(name):
+            fields = self.spark.read.parquet(path).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {count} BUCKETS "
+                f"LOCATION '{path}'"
+            )
+        return self.spark.table(name)
+
+    def is_aligned(self) -> bool:
+        """The current version has the buckets that the next one will have."""
+        path = self.current()
+        return bool(self.buckets and path and self._bucket_count(path) == self.buckets)
+
+    def _bucket_count(self, path: str) -> int:
+        marks = [n for n in files.names(self.spark, path) if n.startswith(BUCKETS)]
+        return int(marks[0].removeprefix(BUCKETS)) if marks else 0
+
+    @staticmethod
+    def _entry(path: str) -> str:
+        return f"version_{hashlib.md5(path.encode()).hexdigest()}"
 
     def stage(self, df: DataFrame) -> str:
         """Write the next version without making it visible; returns its path."""
         versions = self._versions()
         number = int(versions[-1].rsplit("/v", 1)[1]) + 1 if versions else 1
         path = f"{self.root}/v{number:08d}"
-        df.write.mode("errorifexists").parquet(path)
+        if not self.buckets:
+            df.write.mode("errorifexists").parquet(path)
+            return path
+        if not self.is_aligned():
+            # One task per bucket. Rows joined from an aligned version already sit that way.
+            df = df.repartition(self.buckets, self.key)
+        (
+            df.write.mode("errorifexists").format("parquet").option("path", path)
+            .bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self._entry(path))
+        )
+        files.mark(self.spark, f"{path}/{BUCKETS}{self.buckets}")
         return path
 
     def promote(self, path: str) -> None:
@@ -73,5 +116,6 @@ class VersionedTable:
             return []
         gone = [v for v in versions if v < ready[-keep]]
         for path in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(path)}")
             files.remove(self.spark, path)
         return gone

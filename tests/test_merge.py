@@ -34,7 +34,7 @@ def facts(df):
 @pytest.mark.parametrize("shuffle", [True, False])
 def test_batch_wins_history_stays_first_date_is_kept(spark, shuffle):
     old = history(spark, "2026-08-01", a=4.5, b=3.0)
-    merged = m.merge(old, batch(spark, "2026-08-27", a=4.7, c=2.0), always_shuffle=shuffle)
+    merged = m.merge(old, batch(spark, "2026-08-27", a=4.7, c=2.0), full_outer=shuffle)
     assert merged.columns == old.columns
     assert facts(merged) == {
         "a": (4.7, "2026-08-27", "2026-08-01"),
@@ -47,9 +47,9 @@ def test_batch_wins_history_stays_first_date_is_kept(spark, shuffle):
 def test_a_backfill(spark, shuffle):
     old = history(spark, "2026-08-27", a=4.5)
     late = batch(spark, "2026-08-01", a=1.0, b=2.0)
-    batch_wins = m.merge(old, late, always_shuffle=shuffle)
+    batch_wins = m.merge(old, late, full_outer=shuffle)
     assert facts(batch_wins)["a"] == (1.0, "2026-08-01", "2026-08-01")
-    newest = m.merge(old, late, policy=m.NEWEST_WINS, always_shuffle=shuffle)
+    newest = m.merge(old, late, policy=m.NEWEST_WINS, full_outer=shuffle)
     assert facts(newest)["a"] == (4.5, "2026-08-27", "2026-08-01")
     assert facts(newest)["b"] == (2.0, "2026-08-01", "2026-08-01")
 
@@ -89,9 +89,10 @@ def test_parts_agree_with_the_merge(spark):
     assert seen == {k: v[2] for k, v in facts(m.merge(old, new)).items()}
 
 
-def test_consecutive_runs_on_one_table(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_consecutive_runs_on_one_table(spark, tmp_path, buckets):
     """Each run reads the version the run before wrote, and a repeated run changes nothing."""
-    table = VersionedTable(spark, str(tmp_path / "silver"))
+    table = VersionedTable(spark, str(tmp_path / "silver"), buckets)
     rng = random.Random(7)
     expected = {}
     dates = ["2026-08-01", "2026-08-08", "2026-08-15", "2026-08-15", "2026-08-22"]
@@ -101,7 +102,7 @@ def test_consecutive_runs_on_one_table(spark, tmp_path):
             ratings = {f"p{i}": rng.randint(10, 50) / 10 for i in rng.sample(range(40), 20)}
         for k, v in ratings.items():
             expected[k] = (v, date, expected[k][2] if k in expected else date)
-        table.replace(next_silver(table.read(), batch(spark, date, **ratings)))
+        table.replace(next_silver(table, batch(spark, date, **ratings)))
         assert facts(table.read()) == expected
 
 
@@ -127,3 +128,34 @@ def test_history_is_not_shuffled_for_a_small_batch(spark, tmp_path, monkeypatch)
         assert large.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_history_stays_in_place(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "silver"), buckets=8)
+    ratings = {f"p{i}": 4.0 for i in range(200)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for date in ("2026-08-01", "2026-08-08"):
+            merged = next_silver(table, batch(spark, date, **ratings))
+            path = table.replace(merged)
+            assert len(list((tmp_path / "silver" / path.rsplit("/", 1)[1]).glob("*.parquet"))) == 8
+        # Only the batch is moved.
+        text = plan(merged)
+        assert "FullOuter" in text and text.count("Exchange hashpartitioning") == 1
+        # Another session has no catalog entry, and makes one from the version.
+        spark.sql(f"DROP TABLE {table._entry(path)}")
+        again = VersionedTable(spark, str(tmp_path / "silver"), buckets=8)
+        merged = next_silver(again, batch(spark, "2026-08-15", p1=1.0))
+        assert plan(merged).count("Exchange hashpartitioning") == 1
+        assert facts(merged)["p1"] == (1.0, "2026-08-15", "2026-08-01")
+        assert merged.count() == 200
+        again.replace(merged)
+        assert len(again.prune(keep=1)) == 2
+        # A plain table can turn into a bucketed one, and back.
+        plain = VersionedTable(spark, str(tmp_path / "silver"))
+        plain.replace(next_silver(plain, batch(spark, "2026-08-22", p2=2.0)))
+        assert not again.is_aligned()
+        again.replace(next_silver(again, batch(spark, "2026-08-29", p3=3.0)))
+        assert again.is_aligned() and again.read().count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
