@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from peerscore.session import is_small, settle
+from peerscore.session import HOT_ROWS, Groups, settle_groups
 
 CELLS = 4096
-OPEN_ROWS = 1_000_000
 INFINITY = float("inf")
 
 
@@ -52,7 +51,7 @@ def exact_medians(
     groups: list[str],
     measure: str,
     cells: int = CELLS,
-    open_rows: int = OPEN_ROWS,
+    open_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Group size and exact median for a numeric measure with any number of distinct values.
 
@@ -74,22 +73,19 @@ def exact_medians(
 
     is_open = F.col("_lo") < F.col("_hi")
     widest = F.max(F.when(is_open, F.col("_inside"))).alias("widest")
-    brackets, seen = settle(
-        rows.groupBy(*groups).agg(
-            F.count("*").alias("group_size"),
-            F.count(valued).alias("_inside"),
-            F.min(valued).alias("_lo"),
-            F.max(valued).alias("_hi"),
-        ).withColumns({"_rank": F.expr("(_inside + 1) div 2"), "_uneven": F.lit(False)}),
-        widest,
-    )
-    small = is_small(seen)
+    first = rows.groupBy(*groups).agg(
+        F.count("*").alias("group_size"),
+        F.count(valued).alias("_inside"),
+        F.min(valued).alias("_lo"),
+        F.max(valued).alias("_hi"),
+    ).withColumns({"_rank": F.expr("(_inside + 1) div 2"), "_uneven": F.lit(False)})
+    brackets, seen = settle_groups(first, groups, "group_size", widest, hot_rows=open_rows)
     while (seen["widest"] or 0) > open_rows:
-        wide = is_open & (F.col("_inside") > open_rows)
-        rest = brackets.filter(~F.coalesce(wide, F.lit(False)))
-        narrowed = _narrow(values, brackets.filter(wide), groups, cells, small)
-        brackets, seen = settle(rest.unionByName(narrowed), widest)
-    return _finish(values, brackets, is_open, groups, small)
+        wide = F.coalesce(is_open & (F.col("_inside") > open_rows), F.lit(False))
+        narrowed = _narrow(values, brackets.filter(wide), cells)
+        after = brackets.df.filter(~wide).unionByName(narrowed)
+        brackets, seen = settle_groups(after, groups, "group_size", widest, hot_rows=open_rows)
+    return _finish(values, brackets, is_open)
 
 
 def _side(value: Column) -> Column:
@@ -111,21 +107,18 @@ def _cell(cells: int) -> Column:
     return F.when(by_sign, _side(value)).otherwise(F.least(number, F.lit(cells - 1)))
 
 
-def _inside(values: DataFrame, brackets: DataFrame, groups: list[str], small: bool) -> DataFrame:
-    joined = values.join(F.broadcast(brackets) if small else brackets, groups)
-    return joined.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+def _in_bracket() -> Column:
+    return (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
 
 
-def _narrow(
-    values: DataFrame, brackets: DataFrame, groups: list[str], cells: int, small: bool
-) -> DataFrame:
+def _narrow(values: DataFrame, wide: Groups, cells: int) -> DataFrame:
     """Replace each bracket by the cell that holds its rank; lo and hi become actual values."""
     edge = (F.abs("_lo") == INFINITY) | (F.abs("_hi") == INFINITY)
-    wide = brackets.withColumn("_uneven", F.col("_uneven") | edge)
-    keys = [*groups, "group_size", "_rank", "_inside", "_uneven"]
     counted = (
-        _inside(values, wide, groups, small)
-        .groupBy(*keys, _cell(cells).alias("_cell"))
+        wide.join_hot(values)
+        .filter(_in_bracket())
+        .withColumn("_uneven", F.col("_uneven") | edge)
+        .groupBy(*wide.keys, "group_size", "_rank", "_inside", "_uneven", _cell(cells).alias("_cell"))
         .agg(
             F.count("*").alias("_count"),
             F.min("_v").alias("_lo"),
@@ -134,10 +127,10 @@ def _narrow(
     )
     before = F.col("_upto") - F.col("_count")
     return (
-        counted.withColumn("_upto", _running("_count", groups, "_cell"))
+        counted.withColumn("_upto", _running("_count", wide.keys, "_cell"))
         .filter((F.col("_upto") >= F.col("_rank")) & (before < F.col("_rank")))
         .select(
-            *groups, "group_size", "_lo", "_hi",
+            *wide.keys, "group_size", "_lo", "_hi",
             F.col("_count").alias("_inside"),
             (F.col("_rank") - before).alias("_rank"),
             (F.col("_uneven") | (F.col("_count") * 8 > F.col("_inside"))).alias("_uneven"),
@@ -145,22 +138,22 @@ def _narrow(
     )
 
 
-def _finish(
-    values: DataFrame, brackets: DataFrame, is_open: Column, groups: list[str], small: bool
-) -> DataFrame:
-    edges = brackets.filter(is_open).select(*groups, "_rank", "_lo", "_hi")
+def _finish(values: DataFrame, brackets: Groups, is_open: Column) -> DataFrame:
     counted = (
-        _inside(values, edges, groups, small)
-        .groupBy(*groups, "_rank", "_v")
+        brackets.filter(is_open).join(values)
+        .filter(_in_bracket())
+        .groupBy(*brackets.keys, "_rank", "_v")
         .agg(F.count("*").alias("_count"))
     )
     picked = (
-        counted.withColumn("_upto", _running("_count", groups, "_v"))
+        counted.withColumn("_upto", _running("_count", brackets.keys, "_v"))
         .filter(F.col("_upto") >= F.col("_rank"))
-        .groupBy(*groups)
+        .groupBy(*brackets.keys)
         .agg(F.min("_v").alias("_picked"))
     )
+    if brackets.small:  # at most one row per bracket
+        picked = F.broadcast(picked)
     # A closed bracket holds one value; that value is the median.
-    return brackets.join(F.broadcast(picked) if small else picked, groups, "left").select(
-        *groups, "group_size", F.coalesce("_picked", "_lo").alias("group_median")
+    return brackets.df.join(picked, brackets.keys, "left").select(
+        *brackets.keys, "group_size", F.coalesce("_picked", "_lo").alias("group_median")
     )

@@ -17,7 +17,7 @@ from peerscore.schemas import (
     MIN_REVIEWS,
     SMALL_DISTRICT,
 )
-from peerscore.session import settle_for_join
+from peerscore.session import settle_groups
 
 # How the medians are found: on a fixed scale, for any numbers, or approximately.
 MEDIANS: dict[str, Callable[[DataFrame, list[str], str], DataFrame]] = {
@@ -66,14 +66,15 @@ def score_places(
     shuffled as long as the measured district table is small enough to broadcast. A place whose
     review count is NULL, or a candidate whose district is NULL, is in neither result.
     """
-    stats = settle_for_join(district_stats(silver, min_reviews, method))
+    stats, _ = settle_groups(
+        district_stats(silver, min_reviews, method), ["khet"], "khet_candidate_count"
+    )
     places = add_category(silver)
     candidate = F.col("user_rating_count") >= min_reviews
     trusted = F.col("khet_candidate_count") >= min_places
 
     scored = (
-        places.filter(candidate)
-        .join(stats.filter(trusted), "khet")
+        stats.filter(trusted).join(places.filter(candidate))
         .withColumn("gem_score", gap(F.col("rating"), F.col("khet_median_rating")))
         .select(*GOLD_SCORED)
     )
@@ -82,7 +83,7 @@ def score_places(
         .when(candidate & ~trusted, SMALL_DISTRICT)
     )
     unqualified = (
-        places.join(stats, "khet", "left")
+        stats.join(places, "left")
         .withColumn("reason", reason)
         .filter(F.col("reason").isNotNull())
         .select(*GOLD_UNQUALIFIED)
@@ -93,12 +94,11 @@ def score_places(
 def small_groups(silver: DataFrame, min_places: int = MIN_PLACES) -> DataFrame:
     """Candidates of districts with too few candidates for a median."""
     small = F.col("khet_candidate_count") < min_places
-    stats = settle_for_join(district_stats(silver).filter(small))
-    return (
-        silver.filter(F.col("user_rating_count") >= MIN_REVIEWS)
-        .join(stats, "khet")
-        .select("place_id", "khet", "khet_candidate_count")
+    stats, _ = settle_groups(
+        district_stats(silver).filter(small), ["khet"], "khet_candidate_count"
     )
+    candidates = silver.filter(F.col("user_rating_count") >= MIN_REVIEWS)
+    return stats.join(candidates).select("place_id", "khet", "khet_candidate_count")
 
 
 def top_gems(scored: DataFrame, k: int = 20) -> DataFrame:
@@ -123,16 +123,18 @@ def gap_to_group_median(
     """
     enough = F.col(support) >= min_support if support else F.lit(True)
     candidates = df.filter(enough & F.col(group).isNotNull())
-    stats = settle_for_join(MEDIANS[method](candidates, [group], measure))
+    stats, _ = settle_groups(
+        MEDIANS[method](candidates, [group], measure), [group], "group_size"
+    )
     large = F.col("group_size") >= min_group
     outcome = (
         F.when(~enough, "low_support").when(enough & large, "scored")
         .when(enough & ~large, "small_group")
     )
     scored = F.col("outcome") == "scored"
+    rows = df.select(key, group, measure, *([support] if support else []))
     return (
-        df.select(key, group, measure, *([support] if support else []))
-        .join(stats, group, "left")
+        stats.join(rows, "left")
         .withColumn("outcome", outcome)
         .select(
             key, group, measure, "group_size",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql.types import BooleanType, DateType, NumericType, StringType
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# A group with more rows than this is hot.
+HOT_ROWS = 1_000_000
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -35,15 +39,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _size(df: DataFrame) -> list[Column]:
-    """Rows and bytes of a table, as aggregates."""
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about."""
     width = F.lit(16 * len(df.columns)).cast("long")
     for field in df.schema:
         if isinstance(field.dataType, StringType):
             width += F.coalesce(F.octet_length(field.name), F.lit(0))
         elif not isinstance(field.dataType, (NumericType, DateType, BooleanType)):
             raise TypeError(f"no size rule for {field.name}: {field.dataType}")
-    return [F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+    return width
 
 
 def is_small(size: dict) -> bool:
@@ -57,17 +61,66 @@ def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     """
     scratch_root(df.sparkSession)
     seen = Observation()
-    settled = df.observe(seen, *_size(df), *metrics).checkpoint()
+    rows = F.count("*").alias("rows")
+    size = F.coalesce(F.sum(_width(df)), F.lit(0)).alias("bytes")
+    settled = df.observe(seen, rows, size, *metrics).checkpoint()
     return settled, seen.get
 
 
-def settle_for_join(df: DataFrame) -> DataFrame:
-    """Settle the lesser side of a join, to be broadcast only if it was measured to be small.
-
-    Beyond the bounds the join shuffles, and adaptive execution splits the hot keys.
-    """
-    settled, size = settle(df)
-    return F.broadcast(settled) if is_small(size) else settled
+@dataclass(frozen=True)
+class Groups:
+    """A settled table with one row per group, and how it may be joined to the groups' rows."""
+
+    df: DataFrame
+    every: DataFrame
+    keys: list[str]
+    size: str
+    small: bool
+    few_hot: bool
+    hot_rows: int
+
+    def filter(self, condition: Column) -> Groups:
+        return replace(self, df=self.df.filter(condition))
+
+    def join(self, rows: DataFrame, how: str = "inner") -> DataFrame:
+        """Join rows to the groups that are left; ``how`` is inner or left.
+
+        A small table is broadcast. Of a larger one only the hot groups are: they are few, since
+        each holds more than ``hot_rows`` rows. The rows of the others are shuffled, and no key
+        of those is hot.
+        """
+        if self.small:
+            return rows.join(F.broadcast(self.df), self.keys, how)
+        if not self.few_hot:
+            return rows.join(self.df, self.keys, how)
+        is_hot = F.coalesce(F.col(self.size) > self.hot_rows, F.lit(False))
+        hot_keys = F.broadcast(self.every.filter(is_hot).select(*self.keys))
+        hot = F.broadcast(self.df.filter(is_hot))
+        others = self.df.filter(~is_hot)
+        return (
+            rows.join(hot_keys, self.keys, "left_semi").join(hot, self.keys, how)
+            .unionByName(rows.join(hot_keys, self.keys, "left_anti").join(others, self.keys, how))
+        )
+
+    def join_hot(self, rows: DataFrame) -> DataFrame:
+        """Inner join to a table of which only hot groups are left."""
+        few = self.small or self.few_hot
+        return rows.join(F.broadcast(self.df) if few else self.df, self.keys)
+
+
+def settle_groups(
+    df: DataFrame, keys: list[str], size: str, *metrics: Column, hot_rows: int = HOT_ROWS
+) -> tuple[Groups, dict]:
+    """Settle a table with one row per group; ``size`` is its column with the rows per group."""
+    hot = F.col(size) > hot_rows
+    settled, seen = settle(
+        df,
+        F.count_if(hot).alias("hot_groups"),
+        F.coalesce(F.sum(F.when(hot, _width(df))), F.lit(0)).alias("hot_bytes"),
+        *metrics,
+    )
+    few_hot = is_small({"rows": seen["hot_groups"], "bytes": seen["hot_bytes"]})
+    return Groups(settled, settled, keys, size, is_small(seen), few_hot, hot_rows), seen
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -149,21 +149,34 @@ def test_exact_medians_equal_sorting(spark, kind, open_rows):
     assert {r["g"]: (r["group_size"], r["group_median"]) for r in scale.collect()} == lower_medians(rows)
 
 
-def test_exact_medians_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", 1)
-    rows = values("uniform", random.Random(1), 300)
+@pytest.mark.parametrize(("kind", "bound", "open_rows"), [
+    ("uniform", 3, 60), ("uniform", 0, 60), ("uniform", 3, 10**6), ("ties", 3, 60),
+])
+def test_exact_medians_of_more_groups_than_broadcast(spark, monkeypatch, kind, bound, open_rows):
+    monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", bound)
+    rows = values(kind, random.Random(1), 300)
     df = spark.createDataFrame(rows, "g string, v double")
-    found = medians.exact_medians(df, ["g"], "v", cells=8, open_rows=10)
+    found = medians.exact_medians(df, ["g"], "v", cells=8, open_rows=open_rows)
     assert {r["g"]: (r["group_size"], r["group_median"]) for r in found.collect()} == lower_medians(rows)
 
 
-def test_score_places_without_broadcast(spark, monkeypatch):
-    rows = [r for k in "ABCDEFG" for r in district(k, steps(6))]
-    small, _ = scoring.score_places(silver_table(spark, rows))
-    monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", 1)
-    large, _ = scoring.score_places(silver_table(spark, rows))
-    assert sorted(map(tuple, large.collect())) == sorted(map(tuple, small.collect()))
-    assert "ResolvedHint (strategy=broadcast)" not in large._jdf.queryExecution().analyzed().toString()
+@pytest.mark.parametrize("bound", [0, 1, 3])
+def test_score_places_of_more_districts_than_broadcast(spark, monkeypatch, bound):
+    rows = [r for k in "ABCDEFG" for r in district(k, steps(6))] + district("Hot", steps(10))
+    rows += district("Small", steps(2)) + [silver_row("low", khet="Hot", user_rating_count=1)]
+    rows += [silver_row("none", khet="Nowhere", user_rating_count=1)]
+    expected = [sorted(map(str, df.collect())) for df in scoring.score_places(silver_table(spark, rows))]
+    monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", bound)
+    monkeypatch.setattr(scoring.settle_groups, "__kwdefaults__", {"hot_rows": 8})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        tables = scoring.score_places(silver_table(spark, rows))
+        assert [sorted(map(str, df.collect())) for df in tables] == expected
+        # The hot district is broadcast, unless even the hot ones are too many.
+        assert ("BroadcastHashJoin" in plan(tables[0])) == (bound > 0)
+        assert "SortMergeJoin" in plan(tables[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_gap_outcomes(spark):
