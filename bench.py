@@ -17,9 +17,9 @@ from peerscore.plans.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "bronze_scan", "tile_topk", "sweep_stats", "silver_flatten", "drop_funnel", "silver_merge",
-    "silver_merge_shuffled", "silver_table", "silver_table_bucketed", "district_stats", "district_stats_exact",
-    "gold_scored", "gold_unqualified", "gap_customer_nation", "gap_part_brand", "gap_event_type",
-    "gate_silver", "gate_gold", "publish_counts", "full_run",
+    "silver_merge_shuffled", "silver_table", "silver_table_bucketed", "district_stats",
+    "district_stats_exact", "gold_scored", "gold_unqualified", "gap_customer_nation",
+    "gap_part_brand", "gap_event_type", "gate_silver", "gate_gold", "publish_counts", "full_run",
 ]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ class PipelineConfig:
     bronze_path: str
     silver_path: str
     gold_path: str
-    run_date: str
+    run_date: str = field(default_factory=lambda: date.today().isoformat())
     database: str | None = None
     database_location: str | None = None
     multi_line: bool = False
@@ -57,13 +58,14 @@ class PipelineReport:
     dropped: dict[str, int] = field(default_factory=dict)
 
 
-def write_batch(bronze: DataFrame, run_date: str, path: str) -> dict:
-    """Clean one snapshot in a single pass; returns the counts taken on the way."""
+def write_batch(bronze: DataFrame, run_date: str, path: str) -> tuple[DataFrame, dict]:
+    """Clean one snapshot into a stored batch in a single pass, which also counts its rows."""
     seen = Observation()
-    clean(bronze, run_date, seen).write.parquet(path)
+    rows = clean(bronze, run_date, seen)
+    rows.write.parquet(path)
     if seen.get["corrupt"]:
         raise CorruptInput(f"{seen.get['corrupt']} raw records do not parse; nothing was merged")
-    return seen.get
+    return bronze.sparkSession.read.schema(rows.schema).parquet(path), seen.get
 
 
 def next_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WINS) -> DataFrame:
@@ -75,11 +77,25 @@ def next_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WI
     return merge(history, batch, policy=policy, full_outer=silver.is_aligned())
 
 
-def _stage(table: VersionedTable, df: DataFrame, *metrics: Column) -> tuple[str, dict]:
+@dataclass
+class Staged:
+    """A version that was written but is not visible yet."""
+
+    table: VersionedTable
+    version: str
+    rows: DataFrame
+    seen: dict
+
+    def promote(self) -> None:
+        self.table.promote(self.version)
+
+
+def _stage(table: VersionedTable, df: DataFrame, *metrics: Column) -> Staged:
     """Write the next version and count its rows on the way."""
     seen = Observation()
-    path = table.stage(df.observe(seen, F.count("*").alias("rows"), *metrics))
-    return path, seen.get
+    version = table.stage(df.observe(seen, F.count("*").alias("rows"), *metrics))
+    stored = table.spark.read.schema(df.schema).parquet(version)
+    return Staged(table, version, stored, seen.get)
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
@@ -90,39 +106,36 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     batch_path = scratch_path(spark, "batch")
     try:
-        counts = write_batch(bronze, cfg.run_date, batch_path)
-        batch = spark.read.parquet(batch_path)
-        silver_version, merged = _stage(silver, next_silver(silver, batch, cfg.policy))
+        batch, counts = write_batch(bronze, cfg.run_date, batch_path)
+        places = _stage(silver, next_silver(silver, batch, cfg.policy))
     finally:
         files.remove(spark, batch_path)
-    report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": merged["rows"]}
+    report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": places.seen["rows"]}
     report.dropped |= {rule: counts[rule] for rule in RULES}
 
-    places = spark.read.parquet(silver_version)
-    require("silver", silver_checks(places))
-    silver.promote(silver_version)
+    require("silver", silver_checks(places.rows))
+    places.promote()
 
     other = F.count_if(F.col("category") == "other").alias("other")
-    gold = {}
-    for name, df in zip((SCORED, UNQUALIFIED), score_places(places), strict=True):
-        table = VersionedTable(spark, cfg.gold(name))
-        gold[name] = (table, *_stage(table, df, other))
-    report.rows |= {name: seen["rows"] for name, (_, _, seen) in gold.items()}
+    gold = {
+        name: _stage(VersionedTable(spark, cfg.gold(name)), df, other)
+        for name, df in zip((SCORED, UNQUALIFIED), score_places(places.rows), strict=True)
+    }
+    report.rows |= {name: staged.seen["rows"] for name, staged in gold.items()}
     # Places with a NULL review count or district are in neither gold table.
     report.dropped["neither_gold_table"] = (
         report.rows["silver"] - report.rows[SCORED] - report.rows[UNQUALIFIED]
     )
-    others = sum(seen["other"] for _, _, seen in gold.values())
+    others = sum(staged.seen["other"] for staged in gold.values())
     if others:
         log.warning("%d places are neither cafe nor bakery", others)
 
-    tables = {name: spark.read.parquet(version) for name, (_, version, _) in gold.items()}
-    require("gold", gold_checks(tables[SCORED], tables[UNQUALIFIED]))
-    for table, version, _ in gold.values():
-        table.promote(version)
+    require("gold", gold_checks(gold[SCORED].rows, gold[UNQUALIFIED].rows))
+    for staged in gold.values():
+        staged.promote()
     if cfg.database:
         ensure_database(spark, cfg.database, cfg.database_location)
-        publish_all(tables, cfg.database)
-    for table in (silver, *(table for table, _, _ in gold.values())):
-        table.prune(cfg.keep_versions)
+        publish_all({name: staged.rows for name, staged in gold.items()}, cfg.database)
+    for staged in (places, *gold.values()):
+        staged.table.prune(cfg.keep_versions)
     return report

@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 
@@ -62,6 +63,15 @@ def test_three_runs(spark, config, tmp_path):
     spark.sql("DROP DATABASE peerscore_test CASCADE")
 
 
+def test_buckets_change_no_result(spark, config):
+    p.run_pipeline(spark, config("1", records(6), "2026-08-01", silver_buckets=4))
+    second = config("2", records(3, rating=2.0), "2026-08-08", silver_buckets=4)
+    report = p.run_pipeline(spark, second)
+    assert report.rows == {"bronze": 3, "batch": 3, "silver": 6, p.SCORED: 6, p.UNQUALIFIED: 0}
+    ratings = sorted(r["rating"] for r in read(spark, second, p.SCORED).collect())
+    assert ratings == [2.0, 2.1, 2.2, 4.3, 4.4, 4.5]
+
+
 def test_array_file(spark, config, tmp_path):
     cfg = config("a", [], multi_line=True)
     (tmp_path / "bronze" / "a" / "part-0.json").write_text(json.dumps(records(5)))
@@ -109,6 +119,10 @@ def test_rerun_of_the_same_snapshot_changes_nothing(spark, config):
     assert sorted(map(str, read(spark, cfg, p.SCORED).collect())) == before
 
 
+def test_run_date_defaults_to_today():
+    assert p.PipelineConfig("/b", "/s", "/g").run_date == date.today().isoformat()
+
+
 @pytest.mark.parametrize("change", [
     {"bronze_path": ""}, {"silver_path": "s3://None/silver"}, {"gold_path": None},
     {"run_date": "2026-99-01"},
