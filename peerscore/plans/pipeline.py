@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +50,6 @@ class PipelineConfig:
                 raise ValueError(f"{name} is not set: {getattr(self, name)!r}")
         checked_date(self.run_date)
 
-    def gold(self, table: str) -> str:
-        return f"{self.gold_path.rstrip('/')}/{table}"
-
 
 @dataclass
 class PipelineReport:
@@ -78,64 +77,59 @@ def next_silver(silver: VersionedTable, batch: DataFrame, policy: str = BATCH_WI
 
 
 @dataclass
-class Staged:
-    """A version that was written but is not visible yet."""
-
-    table: VersionedTable
-    version: str
+class Stored:
+    path: str
     rows: DataFrame
     seen: dict
 
-    def promote(self) -> None:
-        self.table.promote(self.version)
-
 
-def _stage(table: VersionedTable, df: DataFrame, *metrics: Column) -> Staged:
-    """Write the next version and count its rows on the way."""
+def _store(write: Callable[[DataFrame], str], df: DataFrame, *metrics: Column) -> Stored:
+    """Write a table, count its rows on the way, and read it back."""
     seen = Observation()
-    version = table.stage(df.observe(seen, F.count("*").alias("rows"), *metrics))
-    stored = table.spark.read.schema(df.schema).parquet(version)
-    return Staged(table, version, stored, seen.get)
+    path = write(df.observe(seen, F.count("*").alias("rows"), *metrics))
+    return Stored(path, df.sparkSession.read.schema(df.schema).parquet(path), seen.get)
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     """One whole run. Each version is gated before it becomes visible, and both gold tables pass
-    their gate before either is promoted or published."""
+    their gate before they become visible together and are published."""
     report = PipelineReport()
     silver = VersionedTable(spark, cfg.silver_path, cfg.silver_buckets)
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     batch_path = scratch_path(spark, "batch")
     try:
         batch, counts = write_batch(bronze, cfg.run_date, batch_path)
-        places = _stage(silver, next_silver(silver, batch, cfg.policy))
+        places = _store(silver.stage, next_silver(silver, batch, cfg.policy))
     finally:
         files.remove(spark, batch_path)
     report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": places.seen["rows"]}
     report.dropped |= {rule: counts[rule] for rule in RULES}
 
     require("silver", silver_checks(places.rows))
-    places.promote()
+    silver.promote(places.path)
 
+    gold = VersionedTable(spark, cfg.gold_path)
+    version = gold.next_path()
     other = F.count_if(F.col("category") == "other").alias("other")
-    gold = {
-        name: _stage(VersionedTable(spark, cfg.gold(name)), df, other)
-        for name, df in zip((SCORED, UNQUALIFIED), score_places(places.rows), strict=True)
+    scored, unqualified = score_places(places.rows)
+    tables = {
+        name: _store(partial(gold.stage_part, version, name), df, other)
+        for name, df in {SCORED: scored, UNQUALIFIED: unqualified}.items()
     }
-    report.rows |= {name: staged.seen["rows"] for name, staged in gold.items()}
+    report.rows |= {name: stored.seen["rows"] for name, stored in tables.items()}
     # Places with a NULL review count or district are in neither gold table.
     report.dropped["neither_gold_table"] = (
         report.rows["silver"] - report.rows[SCORED] - report.rows[UNQUALIFIED]
     )
-    others = sum(staged.seen["other"] for staged in gold.values())
+    others = sum(stored.seen["other"] for stored in tables.values())
     if others:
         log.warning("%d places are neither cafe nor bakery", others)
 
-    require("gold", gold_checks(gold[SCORED].rows, gold[UNQUALIFIED].rows))
-    for staged in gold.values():
-        staged.promote()
+    require("gold", gold_checks(tables[SCORED].rows, tables[UNQUALIFIED].rows))
+    gold.promote(version)
     if cfg.database:
         ensure_database(spark, cfg.database, cfg.database_location)
-        publish_all({name: staged.rows for name, staged in gold.items()}, cfg.database)
-    for staged in (places, *gold.values()):
-        staged.table.prune(cfg.keep_versions)
+        publish_all({name: stored.rows for name, stored in tables.items()}, cfg.database)
+    silver.prune(cfg.keep_versions)
+    gold.prune(cfg.keep_versions)
     return report

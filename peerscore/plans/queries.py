@@ -409,7 +409,7 @@ def _run(spark, sf_dir):
 @query
 def full_run(spark, sf_dir):
     cfg, _ = _run(spark, sf_dir)
-    return VersionedTable(spark, cfg.gold(SCORED)).read()
+    return VersionedTable(spark, cfg.gold_path).read_part(SCORED)
 
 
 @query

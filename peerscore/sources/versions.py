@@ -80,11 +80,23 @@ class VersionedTable:
     def _entry(path: str) -> str:
         return f"version_{hashlib.md5(path.encode()).hexdigest()}"
 
-    def stage(self, df: DataFrame) -> str:
-        """Write the next version without making it visible; returns its path."""
+    def next_path(self) -> str:
         versions = self._versions()
         number = int(versions[-1].rsplit("/v", 1)[1]) + 1 if versions else 1
-        path = f"{self.root}/v{number:08d}"
+        return f"{self.root}/v{number:08d}"
+
+    def stage_part(self, path: str, name: str, df: DataFrame) -> str:
+        """Write one of several tables that become visible together."""
+        df.write.mode("errorifexists").parquet(f"{path}/{name}")
+        return f"{path}/{name}"
+
+    def read_part(self, name: str) -> DataFrame | None:
+        path = self.current()
+        return None if path is None else self.spark.read.parquet(f"{path}/{name}")
+
+    def stage(self, df: DataFrame) -> str:
+        """Write the next version without making it visible; returns its path."""
+        path = self.next_path()
         if not self.buckets:
             df.write.mode("errorifexists").parquet(path)
             return path

@@ -29,7 +29,7 @@ def config(tmp_path):
 
 
 def read(spark, cfg, table):
-    return VersionedTable(spark, cfg.gold(table)).read()
+    return VersionedTable(spark, cfg.gold_path).read_part(table)
 
 
 def test_three_runs(spark, config, tmp_path):
@@ -111,6 +111,17 @@ def test_failed_gold_gate_publishes_nothing(spark, config):
     assert not spark.catalog.databaseExists("peerscore_never")
 
 
+def test_gold_tables_become_visible_together(spark, config, monkeypatch):
+    p.run_pipeline(spark, cfg := config("1", records(6)))
+    monkeypatch.setattr(p, "gold_checks", lambda *tables: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        p.run_pipeline(spark, config("2", records(7)))
+    assert read(spark, cfg, p.SCORED).count() == 6
+    monkeypatch.undo()
+    p.run_pipeline(spark, config("3", records(8)))
+    assert read(spark, cfg, p.SCORED).count() == 8
+
+
 def test_rerun_of_the_same_snapshot_changes_nothing(spark, config):
     cfg = config("1", records(6))
     p.run_pipeline(spark, cfg)
