@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("peerscore-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

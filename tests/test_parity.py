@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from tests.parity import connect, oracle_rows, spark_rows
 
-SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")

@@ -11,28 +11,30 @@ from tests.helpers import district, plan, silver_row, silver_table, steps
 METHODS = ["scale", "exact", "approx"]
 
 
-@pytest.mark.parametrize(("types", "expected"), [
-    (["cafe", "food"], "cafe"), (["bakery"], "bakery"), (["bakery", "cafe"], "cafe and bakery"),
-    (["food"], "other"), ([], "other"), (None, "other"), ([None], "other"),
-    # Whether a bakery hides behind the NULL type is unknown, so the cafe decides.
-    ([None, "cafe"], "cafe"), (["cafe", "bakery", None], "cafe and bakery"),
-])
-def test_category(spark, types, expected):
-    df = scoring.add_category(silver_table(spark, [silver_row(place_types=types)]))
-    assert df.first()["category"] == expected
+def test_category(spark):
+    expected = [
+        (["cafe", "food"], "cafe"), (["bakery"], "bakery"), (["bakery", "cafe"], "cafe and bakery"),
+        (["food"], "other"), ([], "other"), (None, "other"), ([None], "other"),
+        # Whether a bakery hides behind the NULL type is unknown, so the cafe decides.
+        ([None, "cafe"], "cafe"), (["cafe", "bakery", None], "cafe and bakery"),
+    ]
+    rows = [silver_row(str(i), place_types=types) for i, (types, _) in enumerate(expected)]
+    found = scoring.add_category(silver_table(spark, rows)).collect()
+    assert {int(r["place_id"]): r["category"] for r in found} == {
+        i: category for i, (_, category) in enumerate(expected)
+    }
 
 
 @pytest.mark.parametrize("method", METHODS)
-@pytest.mark.parametrize(("n", "median"), [(5, 4.2), (6, 4.2), (7, 4.3), (8, 4.3)])
-def test_median_is_the_lower_actual_element(spark, method, n, median):
-    scored, unqualified = scoring.score_places(
-        silver_table(spark, district("A", steps(n))), method=method
-    )
-    rows = scored.collect()
+def test_median_is_the_lower_actual_element(spark, method):
+    medians_of = {5: 4.2, 6: 4.2, 7: 4.3, 8: 4.3}
+    rows = [r for n in medians_of for r in district(f"d{n}", steps(n))]
+    scored, unqualified = scoring.score_places(silver_table(spark, rows), method=method)
+    found = scored.collect()
     assert scored.columns == GOLD_SCORED and unqualified.columns == GOLD_UNQUALIFIED
-    assert {r["khet_median_rating"] for r in rows} == {median}
-    assert {r["rating"]: r["gem_score"] for r in rows} == {
-        r: round(r - median, 2) for r in steps(n)
+    assert {(r["khet"], r["rating"], r["khet_median_rating"], r["gem_score"]) for r in found} == {
+        (f"d{n}", rating, median, round(rating - median, 2))
+        for n, median in medians_of.items() for rating in steps(n)
     }
     assert unqualified.count() == 0
 
@@ -109,44 +111,49 @@ def test_top_gems(spark):
 
 def lower_medians(rows):
     groups = {}
-    for g, v in rows:
-        groups.setdefault(g, []).append(v)
-    return {
-        g: (len(vs), sorted(v for v in vs if v is not None)[(len([v for v in vs if v is not None]) - 1) // 2])
-        for g, vs in groups.items()
-    }
+    for group, value in rows:
+        groups.setdefault(group, []).append(value)
+    found = {}
+    for group, every in groups.items():
+        valued = sorted(v for v in every if v is not None)
+        found[group] = (len(every), valued[(len(valued) - 1) // 2])
+    return found
+
+
+DRAWS = {
+    "uniform": lambda rng: rng.uniform(-5, 5),
+    "heavy tail": lambda rng: rng.paretovariate(0.2),
+    "negative": lambda rng: -rng.paretovariate(0.2),
+    "ties": lambda rng: float(rng.randint(0, 3)),
+    "tiny and huge": lambda rng: rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300),
+    "subnormal": lambda rng: 5e-324 * rng.randint(0, 50),
+    "widest": lambda rng: rng.choice([-1.7e308, -1.6e308, 1.6e308, 1.7e308, 0.0, -0.0]),
+    "neighbours": lambda rng: 1e300 * (1 + rng.randint(0, 9) * 2.0 ** -52),
+    "one value": lambda rng: 2.5,
+    "infinities": lambda rng: rng.choice([float("-inf"), float("inf"), rng.random()]),
+    "nulls": lambda rng: rng.choice([None, rng.random()]),
+}
+
+
+def values(kind, n, seed=1):
+    """Groups of one kind of numbers; one of them holds a third of all rows."""
+    rng = random.Random(f"{kind}{seed}")
+    return [
+        (f"{kind} {'hot' if i % 3 == 0 else i % 7}", DRAWS[kind](rng)) for i in range(n)
+    ]
 
 
-def values(kind, rng, n):
-    draw = {
-        "uniform": lambda: rng.uniform(-5, 5),
-        "heavy tail": lambda: rng.paretovariate(0.2),
-        "ties": lambda: float(rng.randint(0, 3)),
-        "tiny and huge": lambda: rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300),
-        "subnormal": lambda: 5e-324 * rng.randint(0, 50),
-        "widest": lambda: rng.choice([-1.7e308, -1.6e308, 1.6e308, 1.7e308, 0.0, -0.0]),
-        "neighbours": lambda: 1e300 * (1 + rng.randint(0, 9) * 2.0 ** -52),
-        "negative": lambda: -rng.paretovariate(0.2),
-        "one value": lambda: 2.5,
-        "with infinities": lambda: rng.choice([float("-inf"), float("inf"), rng.random()]),
-        "with nulls": lambda: rng.choice([None, rng.random()]),
-    }[kind]
-    # One group holds a third of all rows.
-    return [("hot" if i % 3 == 0 else f"g{i % 7}", draw()) for i in range(n)]
-
-
-@pytest.mark.parametrize("kind", [
-    "uniform", "heavy tail", "ties", "tiny and huge", "one value", "with infinities", "with nulls",
-    "subnormal", "widest", "neighbours", "negative",
-])
-@pytest.mark.parametrize("open_rows", [1, 10**6])
-def test_exact_medians_equal_sorting(spark, kind, open_rows):
-    rows = values(kind, random.Random(kind), 400)
+def by_group(df):
+    return {r["g"]: (r["group_size"], r["group_median"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("open_rows", [1, 40, 10**6])
+def test_exact_medians_equal_sorting(spark, open_rows):
+    rows = [row for kind in DRAWS for row in values(kind, 400)]
     df = spark.createDataFrame(rows, "g string, v double")
     found = medians.exact_medians(df, ["g"], "v", cells=64, open_rows=open_rows)
-    assert {r["g"]: (r["group_size"], r["group_median"]) for r in found.collect()} == lower_medians(rows)
-    scale = medians.scale_medians(df, ["g"], "v")
-    assert {r["g"]: (r["group_size"], r["group_median"]) for r in scale.collect()} == lower_medians(rows)
+    assert by_group(found) == lower_medians(rows)
+    assert by_group(medians.scale_medians(df, ["g"], "v")) == lower_medians(rows)
 
 
 @pytest.mark.parametrize(("kind", "bound", "open_rows"), [
@@ -154,10 +161,10 @@ def test_exact_medians_equal_sorting(spark, kind, open_rows):
 ])
 def test_exact_medians_of_more_groups_than_broadcast(spark, monkeypatch, kind, bound, open_rows):
     monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", bound)
-    rows = values(kind, random.Random(1), 300)
+    rows = values(kind, 300)
     df = spark.createDataFrame(rows, "g string, v double")
     found = medians.exact_medians(df, ["g"], "v", cells=8, open_rows=open_rows)
-    assert {r["g"]: (r["group_size"], r["group_median"]) for r in found.collect()} == lower_medians(rows)
+    assert by_group(found) == lower_medians(rows)
 
 
 @pytest.mark.parametrize("bound", [0, 1, 3])
