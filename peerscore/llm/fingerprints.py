@@ -32,7 +32,7 @@ class Params:
     2^d-th of all terms is in each. Sparse ones tell long texts apart, dense ones short texts."""
 
     cell_bits: int = 22
-    low: float = 0.0
+    low: float = 1e-6
     high: float = 0.02
     subsets: int = 16
     densities: tuple[int, ...] = (5, 7, 9, 11)
