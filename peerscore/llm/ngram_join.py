@@ -2,11 +2,12 @@
 
 The nodes of the join are the distinct shingle sets, so exact copies are one node. Shingles are
 ordered from rare to frequent; two sets with enough in common must share a shingle of their
-prefixes. Sets that share one are compared in rounds: a round compares each set with the one pivot
-that most of its prefix shingles name, and what has been linked to one component is not compared
-again. A last round compares all pairs that are left. So a group of n near copies costs about n
-comparisons a round, not n * n, and the components are exact.
-"""
+prefixes. First every set is compared with the one pivot that most of its prefix shingles name,
+which links groups of near copies at a cost of one comparison a set. Of the shingles whose sets are
+still in several components, those with one pivot form a group; a group's sets are compared inside
+a task, by signatures and then, where those leave a doubt, on the whole sets. No pair becomes a
+row before it is a link. Large groups are dealt to several tasks, block by block.
+""" 
 
 from __future__ import annotations
 
@@ -21,15 +22,18 @@ from pyspark.sql import functions as F
 from peerscore.llm import arrays
 from peerscore.llm.components import components
 from peerscore.llm.frames import schema_with
-from peerscore.session import scratch_root, stage
-
-#: Shingle frequencies are counted in so many hashed cells; their size does not grow with the data.
-CELLS = 1 << 18
-#: A set's shingles are counted in so many parts for the suffix filter.
-PARTS = 16
+from peerscore.session import is_small, scratch_root, settle, stage
+
+#: So many of the most frequent shingles are known by rank; the others count as rare.
+FREQUENT = 1 << 18
+#: Shingles are counted in runs of so many, and reported if a run has them so often.
+RUN, OFTEN = 2_000_000, 3
+#: Longs of a set's signature for the suffix filter: one bit for each hash value that occurs.
+LONGS = 32
 #: Bits of the filter that keeps texts which are in no pair from being shuffled.
 BITS = 1 << 25
-PIVOT_ROUNDS = 4
+#: Sets of a group that a task compares with each other, or with as many others.
+BLOCK = 2048
 
 
 def _key(shingles: np.ndarray) -> tuple[int, int]:
@@ -62,25 +66,51 @@ def shingled(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFra
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
-def frequencies(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """How many documents have a shingle of each hashed cell; all documents count."""
+def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted hashes of the most frequent shingles, at most FREQUENT, and their ranks (from 1).
+
+    Every document counts, copies in one task once. Tasks count exactly within runs of RUN shingles
+    and report those that a run has several times, so rare shingles are not shuffled. The order of
+    shingles that follows is only as good as these counts, but any order gives the same links.
+    """
+
+    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, n = np.unique(np.concatenate(found), return_counts=True)
+        often = n >= OFTEN
+        return pa.RecordBatch.from_arrays(
+            [pa.array(arrays.signed(tokens[often])), pa.array(n[often])], ["token", "n"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(CELLS, dtype=np.int64)
+        buffer, size, seen = [], 0, set()
         for batch in batches:
             for _, data, at in arrays.chunks(batch.column(0)):
-                found = np.concatenate([*arrays.shingle_sets(data, at, words)])
-                seen += np.bincount((found & np.uint64(CELLS - 1)).view(np.int64), minlength=CELLS)
-        cells = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cells, pa.int64()), pa.array(seen[cells], pa.int64())], ["cell", "n"]
-        )
-
-    cells = docs.select(text).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n"))
-    found = cells.toPandas()  # CELLS rows at most
-    total = np.zeros(CELLS, dtype=np.int64)
-    total[found.iloc[:, 0].to_numpy()] = found.iloc[:, 1].to_numpy()
-    return total
+                for found in arrays.shingle_sets(data, at, words):
+                    if len(found) and (node := _key(found)[0]) not in seen:
+                        seen.add(node)
+                        buffer.append(found)
+                        size += len(found)
+                if size >= RUN:
+                    yield counted(buffer)
+                    buffer, size = [], 0
+        if buffer:
+            yield counted(buffer)
+
+    tokens = docs.select(text).mapInArrow(run, "token long, n long").groupBy("token")
+    top = tokens.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT)
+    found = top.toPandas()
+    hashes = found["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], len(hashes) - order
+
+
+def _ranks(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """0 for rare shingles; frequent ones rank by their counts."""
+    hashes, ranks = frequent
+    if not len(hashes):
+        return np.zeros(len(found), dtype=np.int64)
+    at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+    return np.where(hashes[at] == found, ranks[at], 0)
 
 
 def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> DataFrame:
@@ -90,7 +120,7 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency, emitted = order.value, set()
+        frequent, emitted = order.value, set()
         for batch in batches:
             for _, data, at in arrays.chunks(batch.column(0)):
                 tokens, nodes, sizes, places = [], [], [], []
@@ -99,8 +129,8 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> Da
                         continue
                     emitted.add(node)
                     n = len(found)
-                    rank = frequency[(found & np.uint64(CELLS - 1)).astype(np.int64)]
-                    prefix = found[np.lexsort((found, rank))[: n + (-percent * n // 100) + 1]]
+                    ordered = found[np.argsort(_ranks(found, frequent), kind="stable")]
+                    prefix = ordered[: n + (-percent * n // 100) + 1]
                     tokens.append(prefix)
                     nodes.append(np.full(len(prefix), node, dtype=np.int64))
                     sizes.append(np.full(len(prefix), n, dtype=np.int64))
@@ -153,7 +183,7 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFrame:
-    """(node, words, parts): the text and the suffix-filter counts of each of these nodes, once.
+    """(node, words, n, bits): the text, size and signature of each of these nodes, once.
 
     A bit array of fixed size keeps most other texts from being shuffled; the join is exact.
     """
@@ -173,7 +203,7 @@ def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFram
         for batch in batches:
             texts = batch.column(0)
             for row, data, at in arrays.chunks(texts):
-                rows, nodes, parts = [], [], []
+                rows, nodes, sizes, signs = [], [], [], [np.zeros(0, dtype=np.int64)]
                 for i, found in enumerate(arrays.shingle_sets(data, at, words), row):
                     node = _key(found)[0] if len(found) else None
                     if node is None or node in emitted:
@@ -183,23 +213,29 @@ def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFram
                         emitted.add(node)
                         rows.append(i)
                         nodes.append(node)
-                        parts.append(_parts(found))
+                        sizes.append(len(found))
+                        signs.append(_signature(found).view(np.int64))
+                made = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(rows) + 1) * LONGS, pa.int32()),
+                    pa.array(np.concatenate(signs)),
+                )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), texts.take(pa.array(rows, pa.int64())),
-                     pa.array(parts, pa.list_(pa.int32()))], ["node", "words", "parts"],
+                     pa.array(sizes, pa.int64()), made], ["node", "words", "n", "bits"],
                 )
 
-    kept = docs.select(text).mapInArrow(run, "node long, words string, parts array<int>")
+    kept = docs.select(text).mapInArrow(run, "node long, words string, n long, bits array<long>")
     return (
-        kept.join(nodes, "node", "left_semi")
-        .groupBy("node").agg(F.first("words").alias("words"), F.first("parts").alias("parts"))
+        kept.join(nodes, "node", "left_semi").groupBy("node")
+        .agg(*(F.first(c).alias(c) for c in ("words", "n", "bits")))
     )
 
 
-def _parts(found: np.ndarray) -> np.ndarray:
-    return np.bincount((found >> np.uint64(58)).astype(np.int64) % PARTS, minlength=PARTS).astype(
-        np.int32
-    )
+def _signature(found: np.ndarray) -> np.ndarray:
+    """A bit for each value of the shingles' hashes modulo the number of bits."""
+    bits = np.zeros(64 * LONGS, dtype=bool)
+    bits[(found % np.uint64(64 * LONGS)).view(np.int64)] = True
+    return np.packbits(bits).view(np.uint64)
 
 
 def _enough(common: Column, n: Column, m: Column, percent: int) -> Column:
@@ -226,18 +262,32 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     a, b = (
-        texts.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"),
-                     F.col("parts").alias(f"parts_{x}"))
-        for x in ("a", "b")
+        texts.select(*(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "bits")))
+        .withColumnRenamed(f"node_{x}", x) for x in ("a", "b")
     )
-    most = F.expr(
-        "aggregate(zip_with(parts_a, parts_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
+
+    def alone(x: str, y: str) -> Column:
+        """Shingles that only one of two sets can have: bits that the other doesn't have."""
+        return F.expr(
+            f"aggregate(zip_with(bits_{x}, bits_{y}, (x, y) -> bit_count(x & ~y)), 0, (s, x) -> s + x)"
+        )
+
+    n, m = F.col("n_a"), F.col("n_b")
+    most = F.least(n - alone("a", "b"), m - alone("b", "a"))  # the suffix filter
+    near, size = settle(
+        pairs.join(b, "b").join(a, "a").filter(_enough(most, n, m, percent)).select("a", "b")
     )
-    size = [F.expr(f"aggregate(parts_{x}, 0L, (s, x) -> s + x)") for x in "ab"]
+
+    def side(x: str) -> DataFrame:
+        found = texts.select("node", "words")
+        if is_small(size):  # else all texts are shuffled
+            wanted = F.broadcast(near.select(F.col(x).alias("node")))
+            found = found.join(wanted, "node", "left_semi")
+        return found.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"))
+
     return (
-        pairs.join(b, "b").join(a, "a")
-        .filter(_enough(most, *size, percent))  # suffix filter: no more can be common, part by part
-        .select("a", "b", "words_a", "words_b").mapInArrow(run, "a long, b long")
+        near.join(side("b"), "b").join(side("a"), "a").select("a", "b", "words_a", "words_b")
+        .mapInArrow(run, "a long, b long")
     )
 
 
@@ -250,38 +300,171 @@ def _could(n: str, m: str, at: str, other_at: str, percent: int) -> Column:
     return length & _enough(common, n, m, percent)
 
 
-def _by_pivot(postings: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): for each set b the pivot a that most of its tokens name; one pair a set.
+def _by_pivot(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each set b the pivot a that most of its tokens name.
 
     A token's pivot is the member with the smallest hash, so tokens tend to name the same one.
     """
-    order = F.xxhash64(F.lit(turn), "node").alias("h")
-    pivots = (
-        postings.groupBy("token")
-        .agg(F.min(F.struct(order, "node", "n", "at", "component")).alias("p"))
-        .select("token", *(F.col(f"p.{x}").alias(f"p_{x}") for x in ("node", "n", "at", "component")))
-    )
+    order = F.xxhash64("node").alias("h")
+    pivots = postings.groupBy("token").agg(F.min(F.struct(order, "node", "n", "at")).alias("p"))
     votes = (
         postings.join(pivots, "token")
-        .filter((F.col("component") != F.col("p_component")) & _could("n", "p_n", "at", "p_at", percent))
-        .groupBy("node", "p_node").count()
+        .filter((F.col("node") != F.col("p.node")) & _could("n", "p.n", "at", "p.at", percent))
+        .groupBy(F.col("node").alias("b"), F.col("p.node").alias("a")).count()
     )
-    best = votes.groupBy("node").agg(F.max(F.struct("count", "p_node")).alias("best"))
-    return best.select(F.col("best.p_node").alias("a"), F.col("node").alias("b"))
+    best = votes.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best"))
+    return best.select(F.col("best.a").alias("a"), "b")
 
 
-def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of sets in different components that pass the filters, once."""
-    a, b = (
-        postings.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "n", "at", "component")))
-        for s in ("a", "b")
+def _groups(postings: DataFrame) -> DataFrame:
+    """(group, node, component): the sets of tokens with one pivot."""
+    pivots = postings.groupBy("token").agg(
+        F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p")
     )
+    return postings.join(pivots, "token").select(
+        F.col("p.node").alias("group"), "node", "component"
+    ).distinct()
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members with i, j and own: the pair of blocks that they are compared in, and which is theirs.
+
+    A group of up to BLOCK members is one block. A member of a larger one goes to all pairs of
+    blocks with its own.
+    """
+    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    busy = sizes.filter("blocks > 1")
     return (
-        a.join(b, "token")
-        .filter((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")))
-        .filter(_could("n_a", "n_b", "at_a", "at_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        members.join(busy, "group", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        .drop("blocks", "other")
+    )
+
+
+class _Block:
+    """Sets that a task compares; those of one component are not compared again."""
+
+    def __init__(self, node, component, own, size, bits, percent: int):
+        self.node, self.root, self.own = node, component.copy(), own
+        self.size, self.bits, self.percent = size, bits, percent
+        self.one = bool((own == own[0]).all())
+
+    def candidates(self, a: int, after: np.ndarray) -> np.ndarray:
+        """Those of ``after`` that may link with a: length filter, then suffix filter."""
+        n = self.size[a]
+        after = after[self.root[after] != self.root[a]]
+        m = self.size[after]
+        after = after[100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)]
+        if not len(after):
+            return after
+        m, mine, theirs = self.size[after], self.bits[a], self.bits[after]
+        common = np.minimum(
+            n - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64),
+            m - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64),
+        )
+        return after[100 * common >= self.percent * (n + m - common)]
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each set with the later ones, or with those of the other block."""
+        everyone = np.arange(len(self.node))
+        if self.one:
+            for a in everyone[:-1]:
+                yield a, self.candidates(a, everyone[a + 1 :])
+            return
+        first = self.own[0]
+        right = everyone[self.own != first]
+        for a in everyone[self.own == first]:
+            yield a, self.candidates(a, right)
+
+    def doubtful(self) -> np.ndarray:
+        """The sets that may link with one of another component."""
+        found = np.zeros(len(self.node), dtype=bool)
+        for a, others in self.pairs():
+            found[a] |= len(others) > 0
+            found[others] = True
+        return np.flatnonzero(found)
+
+    def links(self, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        """Pairs of linked sets, enough to connect all that are linked."""
+        for a, others in self.pairs():
+            for b in others.tolist():
+                if self.root[a] == self.root[b]:
+                    continue
+                x, y = sets[a], sets[b]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= self.percent * (len(x) + len(y) - common):
+                    yield self.node[a], self.node[b]
+                    self.root[self.root == self.root[b]] = self.root[a]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group and pair of blocks, which come sorted."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("group", "i", "j")])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if held and tuple(keys[:, a]) != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = tuple(keys[:, a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _block(table: pa.Table, size: np.ndarray, bits: np.ndarray, percent: int) -> _Block:
+    node, component, own = (
+        table.column(c).to_numpy() for c in ("node", "component", "own")
+    )
+    return _Block(node, component, own, size, bits, percent)
+
+
+def _in_groups(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect the sets of each group; sets are compared whole where in doubt."""
+
+    def doubt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            table = table.combine_chunks()
+            bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64)
+            block = _block(
+                table, table.column("n").to_numpy(), bits.reshape(-1, LONGS), percent
+            )
+            found = table.take(pa.array(block.doubtful()))
+            yield from found.select(["group", "node", "component"]).to_batches()
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            table = table.combine_chunks()
+            sets = [
+                x for _, data, at in arrays.chunks(table.column("words").combine_chunks())
+                for x in arrays.shingle_sets(data, at, words)
+            ]
+            size = np.array([len(x) for x in sets])
+            bits = np.stack([_signature(x) for x in sets])
+            found = list(_block(table, size, bits, percent).links(sets))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"]
+            )
+
+    def together(rows: DataFrame) -> DataFrame:
+        by = ("group", "i", "j")
+        return rows.repartition(*by).sortWithinPartitions(*by)
+
+    signs = texts.select("node", "n", "bits")
+    left, size = settle(
+        together(_dealt(members).join(signs, "node"))
+        .mapInArrow(doubt, "group long, node long, component long").distinct()
     )
+    whole = texts.select("node", "words")
+    if is_small(size):  # else all texts are shuffled
+        whole = whole.join(F.broadcast(left.select("node")), "node", "left_semi")
+    return together(_dealt(left).join(whole, "node")).mapInArrow(link, "a long, b long")
 
 
 def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
@@ -303,24 +486,15 @@ def node_components(
     """(node, component) of every set that is linked with another one."""
     spark = docs.sparkSession
     scratch_root(spark)
-    order = spark.sparkContext.broadcast(frequencies(docs, text, words))
+    order = spark.sparkContext.broadcast(frequent_shingles(docs, text, words))
     shared = stage(_shared(_prefixes(docs, text, words, percent, order)), "postings")
     texts = stage(_texts(docs, text, words, shared.select("node").distinct()), "texts")
-    labels = spark.createDataFrame([], "node long, component long")
-    postings = shared.withColumn("component", F.col("node"))
-    left = -1
-    for turn in range(PIVOT_ROUNDS + 1):
-        if (now := postings.count()) == 0:
-            break
-        last = turn == PIVOT_ROUNDS or now == left
-        left = now
-        pairs = _all_pairs(postings, percent) if last else _by_pivot(postings, turn, percent)
-        links = stage(_verified(pairs, texts, words, percent), "links")
-        labels = stage(_merged(labels, links), "labels")
-        if last:
-            break
-        postings = _mixed(postings.drop("component"), labels)
-    return labels
+    none = spark.createDataFrame([], "node long, component long")
+    links = stage(_verified(_by_pivot(shared, percent), texts, words, percent), "links")
+    labels = stage(_merged(none, links), "labels")
+    members = stage(_groups(_mixed(shared, labels)), "groups")
+    links = stage(_in_groups(members, texts, words, percent), "links")
+    return stage(_merged(labels, links), "labels")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
