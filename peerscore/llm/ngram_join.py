@@ -25,9 +25,9 @@ from peerscore.llm.frames import schema_with
 from peerscore.session import is_small, scratch_root, settle, stage
 
 #: So many of the most frequent shingles are known by rank; the others count as rare.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: Shingles are counted in runs of so many, and reported if a run has them so often.
-RUN, OFTEN = 2_000_000, 3
+RUN, OFTEN = 3_000_000, 2
 #: Longs of a set's signature for the suffix filter: one bit for each hash value that occurs.
 LONGS = 32
 #: Bits of the filter that keeps texts which are in no pair from being shuffled.
@@ -147,35 +147,37 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> Da
     return found.select("token", "node", F.shiftleft("n", 32).bitwiseOR(F.col("at")).alias("n_at"))
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of tokens that two or more sets have, each once.
+def _shared(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings, each once, of tokens that another set of a like size has: the length filter.
 
-    Tokens are sorted within partitions and streamed, so a frequent token needs no more memory.
+    Tokens are sorted by size within partitions and streamed, so a frequent token needs no more
+    memory; if a set has any partner of a like size, then also a neighbour.
     """
 
+    def near(token: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether a row, the first one left out, has a partner in the row before it."""
+        return (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_shared = None, False  # the last row so far, and if its token was seen before it
+        held, held_near = None, False  # the last row so far, and if it had a partner before it
         for batch in batches:
             columns = [x.to_numpy() for x in batch.columns]
             if held is not None:
                 columns = [np.append(h, x) for h, x in zip(held, columns, strict=True)]
             if not len(columns[0]):
                 continue
-            token, node = columns[0], columns[1]
-            before = np.append(held_shared, token[1:] == token[:-1])
-            repeated = np.append(False, before[1:] & (node[1:] == node[:-1]))
-            columns = [x[~repeated] for x in columns]
-            token = columns[0]
-            before = np.append(held_shared, token[1:] == token[:-1])
+            again = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
+            columns = [x[np.append(True, ~again)] for x in columns]
+            before = np.append(held_near, near(columns[0], columns[2] >> 32))
             shared = before[:-1] | before[1:]
-            held, held_shared = [x[-1:] for x in columns], bool(before[-1])
+            held, held_near = [x[-1:] for x in columns], bool(before[-1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[:-1][shared]) for x in columns], batch.schema.names
             )
-        if held is not None and held_shared:
+        if held is not None and held_near:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["token", "node", "n_at"])
 
-    dealt = postings.repartition("token").sortWithinPartitions("token", "node")
+    dealt = postings.repartition("token").sortWithinPartitions("token", "n_at", "node")
     return dealt.mapInArrow(run, postings.schema).select(
         "token", "node", F.shiftright("n_at", 32).alias("n"),
         F.col("n_at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"),
@@ -487,7 +489,7 @@ def node_components(
     spark = docs.sparkSession
     scratch_root(spark)
     order = spark.sparkContext.broadcast(frequent_shingles(docs, text, words))
-    shared = stage(_shared(_prefixes(docs, text, words, percent, order)), "postings")
+    shared = stage(_shared(_prefixes(docs, text, words, percent, order), percent), "postings")
     texts = stage(_texts(docs, text, words, shared.select("node").distinct()), "texts")
     none = spark.createDataFrame([], "node long, component long")
     links = stage(_verified(_by_pivot(shared, percent), texts, words, percent), "links")
