@@ -25,7 +25,7 @@ from peerscore.llm.frames import schema_with
 from peerscore.session import is_small, scratch_root, settle, stage
 
 #: So many of the most frequent shingles are known by rank; the others count as rare.
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 #: Shingles are counted in runs of so many, and reported if a run has them so often.
 RUN, OFTEN = 3_000_000, 2
 #: Longs of a set's signature for the suffix filter: one bit for each hash value that occurs.
@@ -67,7 +67,7 @@ def shingled(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFra
 
 
 def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted hashes of the most frequent shingles, at most FREQUENT, and their ranks (from 1).
+    """The sorted hashes of the most frequent shingles, at most FREQUENT, and their counts.
 
     Every document counts, copies in one task once. Tasks count exactly within runs of RUN shingles
     and report those that a run has several times, so rare shingles are not shuffled. The order of
@@ -97,20 +97,25 @@ def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarra
             yield counted(buffer)
 
     tokens = docs.select(text).mapInArrow(run, "token long, n long").groupBy("token")
-    top = tokens.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT)
-    found = top.toPandas()
+    counts = stage(tokens.agg(F.sum("n").alias("n")), "shingle_counts")
+    top = 1 << 16
+    rows = counts.groupBy(F.least("n", F.lit(top)).alias("n")).count().toPandas()  # top rows at most
+    above = rows.sort_values("n", ascending=False)
+    fits = above["n"][above["count"].cumsum() <= FREQUENT]
+    least = int(fits.min()) if len(fits) else top + 1
+    found = counts.filter(F.col("n") >= least).toPandas() if len(fits) else counts.limit(0).toPandas()
     hashes = found["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return hashes[order], len(hashes) - order
+    return hashes[order], found["n"].to_numpy(dtype=np.int64)[order]
 
 
 def _ranks(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """0 for rare shingles; frequent ones rank by their counts."""
-    hashes, ranks = frequent
+    """0 for rare shingles; frequent ones rank by their counts, equal ones by their hashes."""
+    hashes, counts = frequent
     if not len(hashes):
         return np.zeros(len(found), dtype=np.int64)
     at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-    return np.where(hashes[at] == found, ranks[at], 0)
+    return np.where(hashes[at] == found, counts[at], 0)
 
 
 def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> DataFrame:
