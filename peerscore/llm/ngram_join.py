@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from peerscore.llm import arrays
 from peerscore.llm.components import components
 from peerscore.llm.frames import schema_with
-from peerscore.session import is_small, scratch_root, settle, stage
+from peerscore.session import scratch_root, stage
 
-#: So many of the most frequent shingles are known by rank; the others count as rare.
-FREQUENT = 1 << 19
+#: Hashed cells that hold the level (about 4 log2) of the most frequent shingle in them.
+CELLS, CHUNK = 1 << 24, 1 << 16
 #: Shingles are counted in runs of so many, and reported if a run has them so often.
 RUN, OFTEN = 3_000_000, 2
 #: Longs of a set's signature for the suffix filter: one bit for each hash value that occurs.
@@ -46,28 +46,36 @@ def _key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def shingled(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFrame:
-    """The columns of ``keep`` with n (size of the set), node and check (its key) of every row."""
+    """The columns of ``keep`` with n (size of the set), node and check (its key), bits (its
+    signature) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, checks = [], [], []
-            for _, data, at in arrays.chunks(batch.column(text)):
-                for found in arrays.shingle_sets(data, at, words):
-                    node, check = _key(found)
-                    sizes.append(len(found))
-                    nodes.append(node)
-                    checks.append(check)
-            made = [pa.array(x, pa.int64()) for x in (sizes, nodes, checks)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + made, [*keep, "n", "node", "check"]
-            )
+            for row, data, at in arrays.chunks(batch.column(text)):
+                sets = list(arrays.shingle_sets(data, at, words))
+                keys = [_key(x) for x in sets]
+                piece = batch.slice(row, len(sets))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(piece.column(c) for c in keep), pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([k[0] for k in keys], pa.int64()),
+                        pa.array([k[1] for k in keys], pa.int64()),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(sets) + 1) * LONGS, pa.int32()),
+                            pa.array(np.concatenate([_signature(x) for x in sets]).view(np.int64)),
+                        ),
+                    ],
+                    [*keep, "n", "node", "check", "bits"],
+                )
 
-    schema = schema_with(docs.select(*keep), n="long", node="long", check="long")
+    schema = schema_with(
+        docs.select(*keep), n="long", node="long", check="long", bits="array<bigint>"
+    )
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
-def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted hashes of the most frequent shingles, at most FREQUENT, and their counts.
+def frequent_shingles(docs: DataFrame, text: str, words: int) -> np.ndarray:
+    """The levels of frequent shingles, in CELLS cells, one byte each, whatever the data's size.
 
     Every document counts, copies in one task once. Tasks count exactly within runs of RUN shingles
     and report those that a run has several times, so rare shingles are not shuffled. The order of
@@ -96,26 +104,29 @@ def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarra
         if buffer:
             yield counted(buffer)
 
-    tokens = docs.select(text).mapInArrow(run, "token long, n long").groupBy("token")
-    counts = stage(tokens.agg(F.sum("n").alias("n")), "shingle_counts")
-    top = 1 << 16
-    rows = counts.groupBy(F.least("n", F.lit(top)).alias("n")).count().toPandas()  # top rows at most
-    above = rows.sort_values("n", ascending=False)
-    fits = above["n"][above["count"].cumsum() <= FREQUENT]
-    least = int(fits.min()) if len(fits) else top + 1
-    found = counts.filter(F.col("n") >= least).toPandas() if len(fits) else counts.limit(0).toPandas()
-    hashes = found["token"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], found["n"].to_numpy(dtype=np.int64)[order]
+    def packed(table: pa.Table) -> pa.Table:
+        levels = np.zeros(CHUNK, dtype=np.uint8)
+        cells = table.column("cell").to_numpy() & (CHUNK - 1)
+        levels[cells] = np.minimum(4 * np.log2(table.column("n").to_numpy()), 255)
+        first = int(table.column("cell")[0].as_py()) // CHUNK
+        return pa.table({"chunk": pa.array([first]), "levels": pa.array([levels.tobytes()])})
+
+    tokens = docs.select(text).mapInArrow(run, "token long, n long")
+    cells = (
+        tokens.groupBy("token").agg(F.sum("n").alias("n"))
+        .groupBy(F.col("token").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.max("n").alias("n"))
+    )
+    chunk = F.shiftright("cell", 16).alias("chunk")  # CHUNK rows at most
+    levels = np.zeros(CELLS, dtype=np.uint8)
+    for row in cells.groupBy(chunk).applyInArrow(packed, "chunk long, levels binary").collect():
+        at = row["chunk"] * CHUNK
+        levels[at : at + CHUNK] = np.frombuffer(row["levels"], dtype=np.uint8)
+    return levels
 
 
-def _ranks(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """0 for rare shingles; frequent ones rank by their counts, equal ones by their hashes."""
-    hashes, counts = frequent
-    if not len(hashes):
-        return np.zeros(len(found), dtype=np.int64)
-    at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-    return np.where(hashes[at] == found, counts[at], 0)
+def _levels(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """0 for rare shingles, more for frequent ones."""
+    return frequent[(found & np.uint64(CELLS - 1)).view(np.int64)]
 
 
 def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> DataFrame:
@@ -134,7 +145,7 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> Da
                         continue
                     emitted.add(node)
                     n = len(found)
-                    ordered = found[np.argsort(_ranks(found, frequent), kind="stable")]
+                    ordered = found[np.argsort(_levels(found, frequent), kind="stable")]
                     prefix = ordered[: n + (-percent * n // 100) + 1]
                     tokens.append(prefix)
                     nodes.append(np.full(len(prefix), node, dtype=np.int64))
@@ -190,7 +201,7 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFrame:
-    """(node, words, n, bits): the text, size and signature of each of these nodes, once.
+    """(node, words): the text of each of these nodes, once.
 
     A bit array of fixed size keeps most other texts from being shuffled; the join is exact.
     """
@@ -210,7 +221,7 @@ def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFram
         for batch in batches:
             texts = batch.column(0)
             for row, data, at in arrays.chunks(texts):
-                rows, nodes, sizes, signs = [], [], [], [np.zeros(0, dtype=np.int64)]
+                rows, nodes = [], []
                 for i, found in enumerate(arrays.shingle_sets(data, at, words), row):
                     node = _key(found)[0] if len(found) else None
                     if node is None or node in emitted:
@@ -220,21 +231,14 @@ def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFram
                         emitted.add(node)
                         rows.append(i)
                         nodes.append(node)
-                        sizes.append(len(found))
-                        signs.append(_signature(found).view(np.int64))
-                made = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(rows) + 1) * LONGS, pa.int32()),
-                    pa.array(np.concatenate(signs)),
-                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), texts.take(pa.array(rows, pa.int64())),
-                     pa.array(sizes, pa.int64()), made], ["node", "words", "n", "bits"],
+                    [pa.array(nodes, pa.int64()), texts.take(pa.array(rows, pa.int64()))],
+                    ["node", "words"],
                 )
 
-    kept = docs.select(text).mapInArrow(run, "node long, words string, n long, bits array<long>")
+    kept = docs.select(text).mapInArrow(run, "node long, words string")
     return (
-        kept.join(nodes, "node", "left_semi").groupBy("node")
-        .agg(*(F.first(c).alias(c) for c in ("words", "n", "bits")))
+        kept.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
     )
 
 
@@ -249,7 +253,9 @@ def _enough(common: Column, n: Column, m: Column, percent: int) -> Column:
     return F.lit(100) * common >= F.lit(percent) * (n + m - common)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, signs: DataFrame, texts_of, words: int, percent: int
+) -> DataFrame:
     """The links (a, b) among candidate pairs (a, b), each compared once, on whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +275,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     a, b = (
-        texts.select(*(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "bits")))
+        signs.select(*(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "bits")))
         .withColumnRenamed(f"node_{x}", x) for x in ("a", "b")
     )
 
@@ -281,19 +287,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     n, m = F.col("n_a"), F.col("n_b")
     most = F.least(n - alone("a", "b"), m - alone("b", "a"))  # the suffix filter
-    near, size = settle(
-        pairs.join(b, "b").join(a, "a").filter(_enough(most, n, m, percent)).select("a", "b")
+    near = stage(
+        pairs.join(b, "b").join(a, "a").filter(_enough(most, n, m, percent)).select("a", "b"), "near"
+    )
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    texts = texts_of(nodes)
+    left, right = (
+        texts.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}")) for x in ("a", "b")
     )
-
-    def side(x: str) -> DataFrame:
-        found = texts.select("node", "words")
-        if is_small(size):  # else all texts are shuffled
-            wanted = F.broadcast(near.select(F.col(x).alias("node")))
-            found = found.join(wanted, "node", "left_semi")
-        return found.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"))
-
     return (
-        near.join(side("b"), "b").join(side("a"), "a").select("a", "b", "words_a", "words_b")
+        near.join(right, "b").join(left, "a").select("a", "b", "words_a", "words_b")
         .mapInArrow(run, "a long, b long")
     )
 
@@ -432,7 +435,9 @@ def _block(table: pa.Table, size: np.ndarray, bits: np.ndarray, percent: int) ->
     return _Block(node, component, own, size, bits, percent)
 
 
-def _in_groups(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _in_groups(
+    members: DataFrame, signs: DataFrame, texts_of, words: int, percent: int
+) -> DataFrame:
     """Links (a, b) that connect the sets of each group; sets are compared whole where in doubt."""
 
     def doubt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,15 +468,12 @@ def _in_groups(members: DataFrame, texts: DataFrame, words: int, percent: int) -
         by = ("group", "i", "j")
         return rows.repartition(*by).sortWithinPartitions(*by)
 
-    signs = texts.select("node", "n", "bits")
-    left, size = settle(
+    left = stage(
         together(_dealt(members).join(signs, "node"))
-        .mapInArrow(doubt, "group long, node long, component long").distinct()
+        .mapInArrow(doubt, "group long, node long, component long").distinct(), "doubtful",
     )
-    whole = texts.select("node", "words")
-    if is_small(size):  # else all texts are shuffled
-        whole = whole.join(F.broadcast(left.select("node")), "node", "left_semi")
-    return together(_dealt(left).join(whole, "node")).mapInArrow(link, "a long, b long")
+    texts = texts_of(left.select("node").distinct())
+    return together(_dealt(left).join(texts, "node")).mapInArrow(link, "a long, b long")
 
 
 def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
@@ -488,19 +490,27 @@ def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def node_components(
-    docs: DataFrame, text: str = "text", words: int = 5, percent: int = 75
+    docs: DataFrame, rows: DataFrame, text: str = "text", words: int = 5, percent: int = 75
 ) -> DataFrame:
-    """(node, component) of every set that is linked with another one."""
+    """(node, component) of every set that is linked with another one; ``rows`` are the shingled
+    documents, stored."""
     spark = docs.sparkSession
     scratch_root(spark)
     order = spark.sparkContext.broadcast(frequent_shingles(docs, text, words))
     shared = stage(_shared(_prefixes(docs, text, words, percent, order), percent), "postings")
-    texts = stage(_texts(docs, text, words, shared.select("node").distinct()), "texts")
+    signs = stage(
+        rows.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node")
+        .agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "signatures",
+    )
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        return stage(_texts(docs, text, words, nodes), "texts")
+
     none = spark.createDataFrame([], "node long, component long")
-    links = stage(_verified(_by_pivot(shared, percent), texts, words, percent), "links")
+    links = stage(_verified(_by_pivot(shared, percent), signs, texts_of, words, percent), "links")
     labels = stage(_merged(none, links), "labels")
     members = stage(_groups(_mixed(shared, labels)), "groups")
-    links = stage(_in_groups(members, texts, words, percent), "links")
+    links = stage(_in_groups(members, signs, texts_of, words, percent), "links")
     return stage(_merged(labels, links), "labels")
 
 
@@ -538,9 +548,9 @@ def near_duplicates(
     """
     keyed = docs.select(F.col(id_col), F.col(text), F.xxhash64(text).alias("text_hash"))
     rows = stage(shingled(keyed, text, [id_col, "text_hash"], words), "sets")
-    labels = node_components(docs, text, words, percent)
+    labels = node_components(docs, rows, text, words, percent)
     of_row = F.when(F.col("n") > 0, F.coalesce("component", "node"))
-    known = rows.join(labels, "node", "left").withColumn("class", of_row)
+    known = rows.drop("bits").join(labels, "node", "left").withColumn("class", of_row)
     row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")
     least = known.filter("class IS NOT NULL").groupBy("class").agg(F.min(row).alias("least"))
     empty = F.col("class").isNull()
