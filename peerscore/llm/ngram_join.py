@@ -3,9 +3,9 @@
 The nodes of the join are the distinct shingle sets, so exact copies are one node. Shingles are
 ordered from rare to frequent; two sets with enough in common must share a shingle of their
 prefixes. First every set is compared with the one pivot that most of its prefix shingles name,
-which links groups of near copies at a cost of one comparison a set. Of the shingles whose sets are
-still in several components, those with one pivot form a group; a group's sets are compared inside
-a task, by signatures and then, where those leave a doubt, on the whole sets. No pair becomes a
+which links groups of near copies at a cost of one comparison a set. Shingles with the same
+smallest set form a group; the sets of a group that is still in several components are compared
+inside a task, by signatures and then, where those leave a doubt, on the whole sets. No pair becomes a
 row before it is a link. Large groups are dealt to several tasks, block by block.
 """ 
 
@@ -164,18 +164,34 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, order) -> Da
 
 
 def _shared(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings, each once, of tokens that another set of a like size has: the length filter.
+    """(group, node, pivot), for each token and set with another set of a like size.
 
     Tokens are sorted by size within partitions and streamed, so a frequent token needs no more
-    memory; if a set has any partner of a like size, then also a neighbour.
+    memory. ``group`` is the token's smallest set. ``pivot`` is the first of the sets whose size is
+    of the same step of a scale, if it passes the positional filter, else null. Length filter: a
+    set with any partner of a like size has one next to it.
     """
+    scale = np.log(100 / percent) / 2
 
-    def near(token: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Whether a row, the first one left out, has a partner in the row before it."""
-        return (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+    def first(new: np.ndarray, values: np.ndarray, held) -> np.ndarray:
+        """The value of the first row of each run; of the first run that of the batches before."""
+        start = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        found = values[start]
+        return found if held is None else np.where(start == 0, held, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_near = None, False  # the last row so far, and if it had a partner before it
+        # the last row so far, if it had a partner before it, and its group and pivot
+        held, held_near, lead, pivot = None, False, None, (None, None)
+
+        def made(node, group, pivots, n_at, keep) -> pa.RecordBatch:
+            n, at, m, other = n_at >> 32, n_at & 0xFFFFFFFF, pivots[1] >> 32, pivots[1] & 0xFFFFFFFF
+            common = np.minimum(at, other) + np.minimum(n - at, m - other)
+            could = (100 * common >= percent * (n + m - common)) & (pivots[0] != node)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(group[keep]), pa.array(node[keep]),
+                 pa.array(pivots[0][keep], mask=~could[keep])], ["group", "node", "pivot"],
+            )
+
         for batch in batches:
             columns = [x.to_numpy() for x in batch.columns]
             if held is not None:
@@ -183,21 +199,26 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
             if not len(columns[0]):
                 continue
             again = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
-            columns = [x[np.append(True, ~again)] for x in columns]
-            before = np.append(held_near, near(columns[0], columns[2] >> 32))
-            shared = before[:-1] | before[1:]
-            held, held_near = [x[-1:] for x in columns], bool(before[-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[:-1][shared]) for x in columns], batch.schema.names
-            )
+            token, node, n_at = (x[np.append(True, ~again)] for x in columns)
+            n = n_at >> 32
+            same = np.append(False, token[1:] == token[:-1])
+            before = same & np.append(False, 100 * n[:-1] >= percent * n[1:])
+            before[0] = held_near
+            step = np.floor(np.log(n) / scale)
+            group = first(~same, node, lead)
+            new = ~same | np.append(True, step[1:] != step[:-1])
+            pivots = first(new, node, pivot[0]), first(new, n_at, pivot[1])
+            keep = np.append(before[:-1] | before[1:], False)
+            yield made(node, group, pivots, n_at, keep)
+            held, held_near = [x[-1:] for x in (token, node, n_at)], bool(before[-1])
+            lead, pivot = group[-1], (pivots[0][-1], pivots[1][-1])
         if held is not None and held_near:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["token", "node", "n_at"])
+            yield made(
+                held[1], np.array([lead]), [np.array([x]) for x in pivot], held[2], np.array([True])
+            )
 
     dealt = postings.repartition("token").sortWithinPartitions("token", "n_at", "node")
-    return dealt.mapInArrow(run, postings.schema).select(
-        "token", "node", F.shiftright("n_at", 32).alias("n"),
-        F.col("n_at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"),
-    )
+    return dealt.mapInArrow(run, "group long, node long, pivot long")
 
 
 def _texts(docs: DataFrame, text: str, words: int, nodes: DataFrame) -> DataFrame:
@@ -301,39 +322,24 @@ def _verified(
     )
 
 
-def _could(n: str, m: str, at: str, other_at: str, percent: int) -> Column:
-    """Length filter and positional filter of two postings of one token."""
-    n, m, at, other_at = (F.col(x) for x in (n, m, at, other_at))
-    length = F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
-    # both before and after the shared token the sets can share no more than the shorter part
-    common = F.least(at, other_at) + F.least(n - at, m - other_at)
-    return length & _enough(common, n, m, percent)
+def _by_pivot(shared: DataFrame) -> DataFrame:
+    """(a, b): for each set b the pivot a that most of its tokens name."""
+    votes = shared.filter("pivot IS NOT NULL").groupBy("node", "pivot").count()
+    best = votes.groupBy("node").agg(F.max(F.struct("count", "pivot")).alias("best"))
+    return best.select(F.col("best.pivot").alias("a"), F.col("node").alias("b"))
 
 
-def _by_pivot(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for each set b the pivot a that most of its tokens name.
-
-    A token's pivot is the member with the smallest hash, so tokens tend to name the same one.
-    """
-    order = F.xxhash64("node").alias("h")
-    pivots = postings.groupBy("token").agg(F.min(F.struct(order, "node", "n", "at")).alias("p"))
-    votes = (
-        postings.join(pivots, "token")
-        .filter((F.col("node") != F.col("p.node")) & _could("n", "p.n", "at", "p.at", percent))
-        .groupBy(F.col("node").alias("b"), F.col("p.node").alias("a")).count()
+def _groups(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(group, node, component): the members of the groups that are in more than one component."""
+    members = shared.select("group", "node").distinct()
+    known = members.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
-    best = votes.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best"))
-    return best.select(F.col("best.a").alias("a"), "b")
-
-
-def _groups(postings: DataFrame) -> DataFrame:
-    """(group, node, component): the sets of tokens with one pivot."""
-    pivots = postings.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p")
+    several = (
+        known.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo < hi").select("group")
     )
-    return postings.join(pivots, "token").select(
-        F.col("p.node").alias("group"), "node", "component"
-    ).distinct()
+    return known.join(several, "group", "left_semi").select("group", "node", "component")
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -476,19 +482,6 @@ def _in_groups(
     return together(_dealt(left).join(texts, "node")).mapInArrow(link, "a long, b long")
 
 
-def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings with their components, of the tokens whose sets are in more than one."""
-    known = (
-        postings.join(labels.withColumnRenamed("component", "found"), "node", "left")
-        .withColumn("component", F.coalesce("found", "node")).drop("found")
-    )
-    several = (
-        known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .filter("lo < hi").select("token")
-    )
-    return stage(known.join(several, "token", "left_semi"), "mixed")
-
-
 def node_components(
     docs: DataFrame, rows: DataFrame, text: str = "text", words: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -507,9 +500,9 @@ def node_components(
         return stage(_texts(docs, text, words, nodes), "texts")
 
     none = spark.createDataFrame([], "node long, component long")
-    links = stage(_verified(_by_pivot(shared, percent), signs, texts_of, words, percent), "links")
+    links = stage(_verified(_by_pivot(shared), signs, texts_of, words, percent), "links")
     labels = stage(_merged(none, links), "labels")
-    members = stage(_groups(_mixed(shared, labels)), "groups")
+    members = stage(_groups(shared, labels), "groups")
     links = stage(_in_groups(members, signs, texts_of, words, percent), "links")
     return stage(_merged(labels, links), "labels")
 

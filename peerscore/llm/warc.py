@@ -231,7 +231,8 @@ def normalise(archives: DataFrame, folder: str, params: Params = Params()) -> Da
                             index = []
                 yield pa.RecordBatch.from_pylist(index, schema=_INDEX)
 
-    dealt = archives.select("archive").repartition("archive")
+    # one task per archive, however few bytes their names have
+    dealt = archives.select("archive").repartition(max(1, archives.count()))
     found = dealt.mapInArrow(
         run, "file string, offset long, length long, record_id string, uri string, type string"
     )
@@ -272,9 +273,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     [pa.array([x[k] for x in rows], t) for k, t in zip(names, _READ, strict=True)], names
                 )
 
-    dealt = index.select("file", "offset", "length").repartition("file").sortWithinPartitions(
-        "file", "offset"
-    )
+    files = max(1, index.select("file").distinct().count())
+    dealt = index.select("file", "offset", "length").repartition(2 * files, "file")
+    dealt = dealt.sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, schema)
 
 
