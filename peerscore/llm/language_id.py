@@ -21,6 +21,8 @@ from peerscore.llm.frames import schema_with
 from peerscore.session import stage
 
 U64 = np.uint64
+#: Words whose scores a task holds at once, about.
+BATCH_WORDS = 1_000_000
 
 # Where blocks of the Unicode character table begin, and the script of their letters.
 SCRIPT_RANGES = [
@@ -249,7 +251,7 @@ def identify(
                 if model.names:
                     parts.append((rows, *_word_scores(data, at, model, params)))
                 rows += len(at) - 1
-                if rows == batch.num_rows or sum(len(x[2]) for x in parts) > 1_000_000:
+                if row + rows == batch.num_rows or sum(len(x[2]) for x in parts) > BATCH_WORDS:
                     piece = batch.slice(row, rows)
                     yield pa.RecordBatch.from_arrays(
                         [*piece.columns, *_labelled(parts, rows, model, params, span)],
