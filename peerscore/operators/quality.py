@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.functions import in_region
-from peerscore.schemas import LOW_REVIEWS, RATING_RANGE, SILVER, SMALL_DISTRICT
+from peerscore.schemas import LOW_REVIEWS, RATING_RANGE, REQUIRED_SIGNALS, SILVER, SMALL_DISTRICT
 
 PASS, FAIL, SKIPPED = "pass", "fail", "skipped"
 
@@ -80,7 +80,7 @@ def null_checks(silver: DataFrame) -> DataFrame:
 
     The range checks above let a NULL pass, because a comparison with NULL is not true.
     """
-    needed = ["rating", "user_rating_count", "khet", "province"]
+    needed = [c for c in REQUIRED_SIGNALS if c not in ("latitude", "longitude")]
     totals = silver.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed])
     return _check_rows(totals, {f"no_null_{c}": (F.col(c), None) for c in needed})
 

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from peerscore.functions import metres_between
 from peerscore.functions.geo import METRES_PER_DEGREE_LAT
+from peerscore.schemas import SEARCH_TYPES
 from peerscore.session import settle
 
 # Step between centres in radii, results per search, searched types.
 STEP_IN_RADII = 1.5
 RESULT_CAP = 15
-SEARCH_TYPES = ("cafe", "bakery")
 
 
 @dataclass(frozen=True)
@@ -181,11 +181,13 @@ def responses(spark: SparkSession, grid: Grid, results: DataFrame) -> DataFrame:
 
 
 def first_found(results: DataFrame) -> DataFrame:
-    """One row per place id, from the first tile that returned it; rows without an id are dropped.
+    """One row per place id, from the first tile that holds it; rows without an id are dropped.
 
-    Only the first row of an id leaves each task, so a repeated id stays cheap.
+    Within a tile the first by rank counts, or the nearest if the rows have no rank. Only the first
+    row of an id leaves each task, so a repeated id stays cheap.
     """
-    order = W.partitionBy("place_id").orderBy("i", "j", "rank")
+    within = "rank" if "rank" in results.columns else "distance_m"
+    order = W.partitionBy("place_id").orderBy("i", "j", within)
     return (
         results.filter(F.col("place_id").isNotNull() & (F.col("place_id") != ""))
         .withColumn("_nth", F.row_number().over(order))
@@ -195,10 +197,9 @@ def first_found(results: DataFrame) -> DataFrame:
 
 
 def sweep_stats(spark: SparkSession, grid: Grid, results: DataFrame) -> DataFrame:
-    """Per tile: results returned, new places, and the running total of places in tile order.
+    """Per tile: places found, new places, and the running total of places in tile order.
 
-    ``results`` should be a stored table; it holds at most the cap per tile. A tile without
-    results stays in the sweep with zeros. The running total adds up whole rows
+    ``results`` should be a stored table, of all members of the tiles. A tile without any stays in the sweep with zeros. The running total adds up whole rows
     first and then the tiles of one row, so no window holds more than one row of tiles.
     """
     returned = results.groupBy("i", "j").agg(F.count("*").alias("returned"))
@@ -222,9 +223,9 @@ def sweep_stats(spark: SparkSession, grid: Grid, results: DataFrame) -> DataFram
 
 
 def sweep_gaps(spark: SparkSession, grid: Grid, results: DataFrame, cap: int = RESULT_CAP) -> DataFrame:
-    """Tiles that returned nothing, and tiles at the cap, where places may be missing."""
+    """Tiles without a member, and crowded ones, of whose members a search returns only ``cap``."""
     returned = results.groupBy("i", "j").agg(F.count("*").alias("returned"))
-    status = F.when(F.col("returned") == 0, "empty").when(F.col("returned") >= cap, "at_cap")
+    status = F.when(F.col("returned") == 0, "empty").when(F.col("returned") > cap, "crowded")
     return (
         tiles(spark, grid)
         .join(returned, ["i", "j"], "left")

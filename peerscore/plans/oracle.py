@@ -5,15 +5,14 @@ from __future__ import annotations
 from peerscore.plans.tables import (
     ADDRESS,
     BATCH_DATES,
-    HISTORY_END,
+    BATCH_STARTS,
     LATITUDE,
     LONGITUDE,
     PLACE_ID,
     PRICE,
     RATING,
-    REVIEW,
+    REVIEWS,
     RUN_DATE,
-    SECOND_END,
     TYPE_NAMES,
 )
 
@@ -23,7 +22,7 @@ ORACLE: dict[str, str] = {}
 # -- shared tables ---------------------------------------------------------------------------
 
 RAW = f"""reviews AS (
-    SELECT l_partkey, count(*) AS cnt FROM lineitem WHERE {REVIEW} GROUP BY l_partkey
+    SELECT l_partkey, {REVIEWS} AS cnt FROM lineitem GROUP BY l_partkey
 ), raw AS (
     SELECT {PLACE_ID} AS place_id, p_name AS name, {RATING} AS rating, {PRICE} AS price,
         {ADDRESS} AS address, {LATITUDE} AS latitude, {LONGITUDE} AS longitude,
@@ -164,13 +163,13 @@ MEMBERS = LOCATED + _tiles(CITY) + """, members AS (
     SELECT * FROM ranked WHERE rank <= 15
 ), found AS (
     SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY i, j, rank) AS nth
-        FROM results
+        SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY i, j, distance_m) AS nth
+        FROM near
     ) WHERE nth = 1
 ), per_tile AS (
     SELECT t.i, t.j, count(r.place_id) AS returned, count(f.place_id) AS new
     FROM tiles t
-    LEFT JOIN results r ON r.i = t.i AND r.j = t.j
+    LEFT JOIN near r ON r.i = t.i AND r.j = t.j
     LEFT JOIN found f ON f.i = r.i AND f.j = r.j AND f.place_id = r.place_id
     GROUP BY t.i, t.j
 )"""
@@ -185,12 +184,12 @@ ORACLE["tile_topk"] = _with(MEMBERS, "SELECT i, j, rank, place_id, distance_m FR
 ORACLE["tile_uncovered"] = _with(MEMBERS, """
 SELECT place_id FROM located WHERE place_id NOT IN (SELECT place_id FROM near)""")
 ORACLE["response_explode"] = _with(MEMBERS, "SELECT i, j, rank, place_id FROM results")
-ORACLE["sweep_dedup"] = _with(MEMBERS, "SELECT place_id, i, j, rank FROM found")
+ORACLE["sweep_dedup"] = _with(MEMBERS, "SELECT place_id, i, j, distance_m FROM found")
 ORACLE["sweep_stats"] = _with(MEMBERS, """
 SELECT i, j, returned, new, CAST(sum(new) OVER (ORDER BY i, j) AS BIGINT) AS total FROM per_tile""")
 ORACLE["sweep_gaps"] = _with(MEMBERS, """
-SELECT i, j, returned, CASE WHEN returned = 0 THEN 'empty' ELSE 'at_cap' END AS status
-FROM per_tile WHERE returned = 0 OR returned >= 15""")
+SELECT i, j, returned, CASE WHEN returned = 0 THEN 'empty' ELSE 'crowded' END AS status
+FROM per_tile WHERE returned = 0 OR returned > 15""")
 
 
 # -- silver ----------------------------------------------------------------------------------
@@ -219,42 +218,47 @@ def _sightings(name: str, date: str, condition: str) -> str:
     SELECT {PLACE_ID} AS place_id, max(l_quantity) / CAST(10 AS DOUBLE) AS rating,
         CAST(count(*) AS INTEGER) AS user_rating_count, '{date}' AS ingestion_date
     FROM part JOIN lineitem ON p_partkey = l_partkey
-    WHERE {REVIEW} AND {condition}
+    WHERE {condition}
     GROUP BY p_partkey
 )"""
 
 
 DAY = "CAST(l_shipdate AS DATE)"
-BATCHES = ",\n".join([
-    _sightings("b1", BATCH_DATES[0], f"{DAY} < DATE '{HISTORY_END}'"),
-    _sightings("b2", BATCH_DATES[1],
-               f"{DAY} >= DATE '{HISTORY_END}' AND {DAY} < DATE '{SECOND_END}'"),
-    _sightings("b3", BATCH_DATES[2], f"{DAY} >= DATE '{SECOND_END}'"),
-]) + """, every AS (
-    SELECT 1 AS run, * FROM b1 UNION ALL SELECT 2, * FROM b2 UNION ALL SELECT 3, * FROM b3
-)"""
+
+
+def _batches(count: int) -> str:
+    """All reviews as so many batches: the last one has all that are left."""
+    edges = ["DATE '0001-01-01'", *(f"DATE '{x}'" for x in BATCH_STARTS[:count - 1])]
+    ends = [*edges[1:], "DATE '9999-12-31'"]
+    spans = [
+        _sightings(f"b{k + 1}", BATCH_DATES[k], f"{DAY} >= {edges[k]} AND {DAY} < {ends[k]}")
+        for k in range(count)
+    ]
+    every = " UNION ALL ".join(f"SELECT {k + 1} AS run, * FROM b{k + 1}" for k in range(count))
+    return ",\n".join(spans) + f", every AS ({every})"
+
 
 
 def _latest(runs: int) -> str:
     """The last sighting of each place wins; its first date is kept."""
-    return f"""
+    return _with(_batches(runs), """
 SELECT place_id, rating, user_rating_count, ingestion_date, first_seen_date FROM (
     SELECT *, min(ingestion_date) OVER (PARTITION BY place_id) AS first_seen_date,
         row_number() OVER (PARTITION BY place_id ORDER BY run DESC) AS nth
-    FROM every WHERE run <= {runs}
-) WHERE nth = 1"""
+    FROM every
+) WHERE nth = 1""")
 
 
-ORACLE["merge_first_run"] = _with(BATCHES, _latest(1))
-ORACLE["merge_carryover"] = _with(BATCHES, """
+ORACLE["merge_first_run"] = _latest(1)
+ORACLE["merge_carryover"] = _with(_batches(2), """
 SELECT place_id, rating, user_rating_count FROM b1
 WHERE place_id NOT IN (SELECT place_id FROM b2)""")
-ORACLE["first_seen"] = _with(BATCHES, """
-SELECT place_id, min(ingestion_date) AS first_seen_date FROM every WHERE run <= 2
+ORACLE["first_seen"] = _with(_batches(2), """
+SELECT place_id, min(ingestion_date) AS first_seen_date FROM every
 GROUP BY place_id""")
-ORACLE["silver_merge"] = _with(BATCHES, _latest(2))
+ORACLE["silver_merge"] = _latest(2)
 ORACLE["silver_merge_shuffled"] = ORACLE["silver_merge"]
-ORACLE["silver_table"] = _with(BATCHES, _latest(3))
+ORACLE["silver_table"] = _latest(3)
 ORACLE["silver_table_bucketed"] = ORACLE["silver_table"]
 
 

@@ -78,9 +78,9 @@ def bronze_snapshot(spark, sf_dir):
 
 # -- tile sweep ------------------------------------------------------------------------------
 
-def _results(spark, sf_dir):
+def _members(spark, sf_dir):
     members = tiles.tile_members(tables.located_places(spark, sf_dir), tiles.Grid())
-    return stage(tiles.search_results(members), "results")
+    return stage(members.select("place_id", "i", "j", "distance_m"), "members")
 
 
 @query
@@ -124,12 +124,12 @@ def response_explode(spark, sf_dir):
 @query
 def sweep_dedup(spark, sf_dir):
     members = tiles.tile_members(tables.located_places(spark, sf_dir), tiles.Grid())
-    return tiles.first_found(tiles.search_results(members)).select("place_id", "i", "j", "rank")
+    return tiles.first_found(members).select("place_id", "i", "j", "distance_m")
 
 
 @query
 def sweep_stats(spark, sf_dir):
-    return tiles.sweep_stats(spark, tiles.Grid(), _results(spark, sf_dir)).select(
+    return tiles.sweep_stats(spark, tiles.Grid(), _members(spark, sf_dir)).select(
         "i", "j", "returned", "new", "total"
     )
 
@@ -137,7 +137,7 @@ def sweep_stats(spark, sf_dir):
 @query
 def sweep_gaps(spark, sf_dir):
     members = tiles.tile_members(tables.located_places(spark, sf_dir), tiles.Grid())
-    return tiles.sweep_gaps(spark, tiles.Grid(), tiles.search_results(members))
+    return tiles.sweep_gaps(spark, tiles.Grid(), members)
 
 
 # -- silver ----------------------------------------------------------------------------------

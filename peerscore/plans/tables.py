@@ -1,6 +1,6 @@
 """Places and batches derived from the given tables.
 
-Places come from ``part``; review counts are the ``lineitem`` rows of large quantity; districts,
+Places come from ``part``; review counts come from all of its ``lineitem`` rows; districts,
 coordinates and dirty values are arithmetic on the key. The SQL fragments are the input
 definition, shared with the oracle SQL because they mean the same in both engines.
 """
@@ -14,7 +14,8 @@ from peerscore.operators.silver import clean, first_version
 from peerscore.session import stage
 
 RUN_DATE = "2026-08-27"
-REVIEW = "l_quantity >= 42"
+# Every line counts; the remainder makes places with few and with enough reviews.
+REVIEWS = "count(*) % 11"
 
 PLACE_ID = "concat('place_', p_partkey)"
 RATING = """CASE WHEN p_partkey % 23 = 0 THEN NULL
@@ -23,7 +24,7 @@ PRICE = """CASE p_partkey % 7 WHEN 0 THEN 'PRICE_LEVEL_FREE' WHEN 1 THEN 'PRICE_
     WHEN 2 THEN 'PRICE_LEVEL_MODERATE' WHEN 3 THEN 'PRICE_LEVEL_EXPENSIVE'
     WHEN 4 THEN 'PRICE_LEVEL_VERY_EXPENSIVE' WHEN 5 THEN 'PRICE_LEVEL_UNSPECIFIED' END"""
 ADDRESS = """CASE WHEN p_partkey % 31 = 0 THEN concat(p_partkey, ' Road, Thailand')
-    WHEN p_partkey % 29 = 0 THEN concat(p_partkey, ' Road, แขวงบางมด, Bangkok 10110, Thailand')
+    WHEN p_partkey % 29 = 0 THEN concat(p_partkey, ' Road, ตลาดริมน้ำ, Bangkok 10110, Thailand')
     WHEN p_partkey % 19 = 0
         THEN concat(p_partkey, ' Road, Tambon X, Mueang, Chiang Mai 50200, Thailand')
     ELSE concat(p_partkey, ' Road, Khwaeng ', p_type, ', ',
@@ -36,10 +37,10 @@ LONGITUDE = """CAST(100.45 AS DOUBLE)
     + CAST((p_partkey * 104729) % 2003 AS DOUBLE) / CAST(10000 AS DOUBLE)"""
 TYPE_NAMES = "replace(replace(p_name, 'small', 'cafe'), 'widget', 'bakery')"
 
-# Sightings for the merge: reviews up to the first date are history, later ones are batches.
-HISTORY_END = "1999-01-01"
-SECOND_END = "2001-01-01"
-BATCH_DATES = ("1999-01-01", "2001-01-01", "2001-12-31")
+# Sightings for the merge: the first batch has the reviews before the first date, the last batch
+# all that are left. The later batches are short, so that not every place is in each.
+BATCH_STARTS = ("2001-07-01", "2001-10-01")
+BATCH_DATES = ("2001-07-01", "2001-10-01", "2001-12-31")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw place objects, one per part."""
     reviews = (
-        table(spark, sf_dir, "lineitem").filter(REVIEW)
-        .groupBy("l_partkey").agg(F.count("*").alias("cnt"))
+        table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.expr(REVIEWS).alias("cnt"))
     )
     part = table(spark, sf_dir, "part")
     return part.join(reviews, part.p_partkey == reviews.l_partkey, "left").select(
@@ -95,7 +95,7 @@ def sightings(
     The rating is the largest reviewed quantity in tens, so it changes from batch to batch.
     """
     day = F.col("l_shipdate").cast("date")
-    lines = table(spark, sf_dir, "lineitem").filter(REVIEW)
+    lines = table(spark, sf_dir, "lineitem")
     if start:
         lines = lines.filter(day >= F.lit(start).cast("date"))
     if end:
@@ -120,7 +120,9 @@ def sightings(
 
 
 def batches(spark: SparkSession, sf_dir: str, count: int) -> list[DataFrame]:
-    """The first stored batches in date order; most places appear in several."""
-    first, second, third = BATCH_DATES
-    spans = [(first, None, HISTORY_END), (second, HISTORY_END, SECOND_END), (third, SECOND_END, None)]
-    return [stage(sightings(spark, sf_dir, *span), "batch") for span in spans[:count]]
+    """All reviews as so many stored batches in date order; most places appear in several."""
+    edges = [None, *BATCH_STARTS[: count - 1], None]
+    return [
+        stage(sightings(spark, sf_dir, BATCH_DATES[k], edges[k], edges[k + 1]), "batch")
+        for k in range(count)
+    ]

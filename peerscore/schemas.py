@@ -60,3 +60,9 @@ LOW_REVIEWS = "low_review_count"
 SMALL_DISTRICT = "khet_sample_too_small"
 PROVINCES = ("bangkok", "krung thep maha nakhon")
 RATING_RANGE = (1.0, 5.0)
+
+# Fixed value: the types that a search asks for; a place's category is made of them.
+SEARCH_TYPES = ("cafe", "bakery")
+
+# A place without one of these gives no signal: the filter, the funnel and the gate share the list.
+REQUIRED_SIGNALS = ("rating", "user_rating_count", "latitude", "longitude", "khet", "province")

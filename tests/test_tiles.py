@@ -151,9 +151,9 @@ def test_sweep_statistics(spark):
         expected[tile] = (len(mine), len(new), len(seen))
     stats = tiles.sweep_stats(spark, grid, found(spark, rows)).collect()
     assert {(r["i"], r["j"]): (r["returned"], r["new"], r["total"]) for r in stats} == expected
-    gaps = tiles.sweep_gaps(spark, grid, found(spark, rows), cap=4).collect()
+    gaps = tiles.sweep_gaps(spark, grid, found(spark, rows), cap=3).collect()
     assert {(r["i"], r["j"]): r["status"] for r in gaps} == {
-        t: "at_cap" if expected[t][0] else "empty" for t in order
+        t: "crowded" if expected[t][0] else "empty" for t in order
     }
 
 
