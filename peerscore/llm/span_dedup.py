@@ -24,8 +24,8 @@ BITS = 1 << 25
 
 @dataclass(frozen=True)
 class Params:
-    """A span is a run of ``sentences`` sentences with ``min_words`` words at least. Sentences end
-    at ``.``, ``!`` or ``?`` before a blank, at a newline, and after ``max_words`` words."""
+    """A span is the shortest run, from each sentence on, of at least ``sentences`` sentences with
+    at least ``min_words`` words together. Sentences end at ``.``, ``!`` or ``?`` before a blank, at a newline, and after ``max_words`` words."""
 
     sentences: int = 2
     min_words: int = 12
@@ -34,9 +34,9 @@ class Params:
 
 def spans(
     data: np.ndarray, at: np.ndarray, params: Params
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-    """Per text: the span hashes, the first sentence of each, where sentences begin (in bytes of
-    the text; the first at 0), and the text's length. A-Z are lower-cased, blanks don't matter."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Per text: the span hashes, the first sentence of each and the one after its last, where
+    sentences begin (in bytes of the text; the first at 0), and the text's length. A-Z are lower-cased, blanks don't matter."""
     starts, ends, before = arrays.words(data, at)
     hashes = arrays.hash_spans(arrays.LOWER[data], starts, ends)
     n = len(starts)
@@ -52,18 +52,18 @@ def spans(
     heads = np.repeat(heads, -(-long // params.max_words)) + params.max_words * cut
     bounds = np.append(heads, n)
     of_text = np.searchsorted(heads, before)
-    k = params.sentences
-    count = max(len(heads) - k + 1, 0)
-    a, b = bounds[:count], bounds[k : k + count]
-    runs = arrays.hash_runs(hashes, a, b)
-    enough = b - a >= params.min_words
+    after = np.maximum(
+        np.arange(len(heads)) + params.sentences, np.searchsorted(bounds, heads + params.min_words)
+    )
+    last = np.repeat(of_text[1:], np.diff(of_text))
+    inside = np.minimum(after, last)
+    runs = arrays.hash_runs(hashes, heads, bounds[inside])
     for i in range(len(at) - 1):
         lo, hi = int(of_text[i]), int(of_text[i + 1])
-        firsts = np.arange(lo, max(hi - k + 1, lo))
-        firsts = firsts[enough[firsts]]
+        firsts = lo + np.flatnonzero(after[lo:hi] <= hi)
         begin = starts[heads[lo:hi]] - at[i]
         begin[:1] = 0
-        yield runs[firsts], firsts - lo, begin, int(at[i + 1] - at[i])
+        yield runs[firsts], firsts - lo, after[firsts] - lo, begin, int(at[i + 1] - at[i])
 
 
 def _span_rows(docs: DataFrame, columns: list[str], text: str, params: Params, bits=None) -> DataFrame:
@@ -148,7 +148,7 @@ def drop_repeated_spans(
             texts, totals, gone = [], [], []
             column = batch.column(text)
             for row, data, at in arrays.chunks(column):
-                for i, (hashes, firsts, begin, size) in enumerate(spans(data, at, params), row):
+                for i, (hashes, firsts, ends, begin, size) in enumerate(spans(data, at, params), row):
                     value = column[i].as_buffer().to_pybytes() if column[i].is_valid else None
                     lost = np.zeros(len(begin), dtype=bool)
                     if batch.column("__all")[i].is_valid:
@@ -159,8 +159,7 @@ def drop_repeated_spans(
                         again = np.ones(len(hashes), dtype=bool)
                         again[earliest] = False
                         hit = np.isin(hashes, every) | (again & np.isin(hashes, later))
-                        for j in range(params.sentences):
-                            lost[firsts[hit] + j] = True
+                        lost[arrays.gather(firsts[hit], ends[hit] - firsts[hit])] = True
                         bounds = np.append(begin, size)
                         value = b"".join(
                             value[bounds[j] : bounds[j + 1]] for j in np.flatnonzero(~lost)
