@@ -169,7 +169,9 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
     Tokens are sorted by size within partitions and streamed, so a frequent token needs no more
     memory. ``group`` is the token's smallest set. ``pivot`` is the first of the sets whose size is
     of the same step of a scale, if it passes the positional filter, else null. Length filter: a
-    set with any partner of a like size has one next to it.
+    set with any larger partner of a like size has one next to it. Two linked sets share a token
+    within the index prefix of the smaller one, which is shorter than the prefix: the least number
+    of shingles in common grows with the size of the larger one.
     """
     scale = np.log(100 / percent) / 2
 
@@ -180,8 +182,8 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
         return found if held is None else np.where(start == 0, held, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the last row so far, if it had a partner before it, and its group and pivot
-        held, held_near, lead, pivot = None, False, None, (None, None)
+        # the last row so far, its group and pivot, and the size of the indexed set before it
+        held, lead, pivot, size, near = None, None, (None, None), 0, False
 
         def made(node, group, pivots, n_at, keep) -> pa.RecordBatch:
             n, at, m, other = n_at >> 32, n_at & 0xFFFFFFFF, pivots[1] >> 32, pivots[1] & 0xFFFFFFFF
@@ -200,19 +202,24 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
                 continue
             again = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
             token, node, n_at = (x[np.append(True, ~again)] for x in columns)
-            n = n_at >> 32
+            n, at = n_at >> 32, n_at & 0xFFFFFFFF
+            rows = np.arange(len(n))
             same = np.append(False, token[1:] == token[:-1])
-            before = same & np.append(False, 100 * n[:-1] >= percent * n[1:])
-            before[0] = held_near
+            like = same[1:] & (100 * n[:-1] >= percent * n[1:])
+            indexed = at <= n + (-2 * percent * n // (100 + percent))
+            start = np.maximum.accumulate(np.where(same, 0, rows))
+            last = np.append(-1, np.maximum.accumulate(np.where(indexed, rows, -1))[:-1])
+            sizes = np.where(last >= start, n[last], np.where(start == 0, size, 0))
+            before = 100 * sizes >= percent * n
             step = np.floor(np.log(n) / scale)
             group = first(~same, node, lead)
             new = ~same | np.append(True, step[1:] != step[:-1])
             pivots = first(new, node, pivot[0]), first(new, n_at, pivot[1])
-            keep = np.append(before[:-1] | before[1:], False)
+            keep = np.append(before[:-1] | (indexed[:-1] & like), False)
             yield made(node, group, pivots, n_at, keep)
-            held, held_near = [x[-1:] for x in (token, node, n_at)], bool(before[-1])
+            held, near, size = [x[-1:] for x in (token, node, n_at)], bool(before[-1]), sizes[-1]
             lead, pivot = group[-1], (pivots[0][-1], pivots[1][-1])
-        if held is not None and held_near:
+        if held is not None and near:
             yield made(
                 held[1], np.array([lead]), [np.array([x]) for x in pivot], held[2], np.array([True])
             )
