@@ -63,7 +63,8 @@ def score_places(
 
     ``silver`` should be a stored table: it is read once for the district statistics and once
     for each result. The statistics are settled once and joined to every place, so no place is
-    shuffled as long as the measured district table is small enough to broadcast. A place whose
+    shuffled as long as the measured district table is small enough to broadcast. Beyond that only
+    candidates are joined, and only those of districts that are not hot are shuffled. A place whose
     review count is NULL, or a candidate whose district is NULL, is in neither result.
     """
     stats, _ = settle_groups(
@@ -83,7 +84,7 @@ def score_places(
         .when(candidate & ~trusted, SMALL_DISTRICT)
     )
     unqualified = (
-        stats.join(places, "left")
+        stats.judge(places, candidate & F.col("khet").isNotNull())
         .withColumn("reason", reason)
         .filter(F.col("reason").isNotNull())
         .select(*GOLD_UNQUALIFIED)
@@ -118,8 +119,9 @@ def gap_to_group_median(
 ) -> DataFrame:
     """The same score over any table: key, group, measure, group size, median, gap and outcome.
 
-    Rows below ``min_support`` do not shape the median. The gap is NULL unless the outcome is
-    ``scored``. Rows with a NULL group or support keep a NULL outcome.
+    Rows below ``min_support`` do not shape the median, and their group size is NULL. The gap is
+    NULL unless the outcome is ``scored``. Rows with a NULL group or support keep a NULL outcome.
+    ``df`` is read several times by the exact method; store it if it is dear.
     """
     enough = F.col(support) >= min_support if support else F.lit(True)
     candidates = df.filter(enough & F.col(group).isNotNull())
@@ -134,10 +136,10 @@ def gap_to_group_median(
     scored = F.col("outcome") == "scored"
     rows = df.select(key, group, measure, *([support] if support else []))
     return (
-        stats.join(rows, "left")
+        stats.judge(rows, enough & F.col(group).isNotNull())
         .withColumn("outcome", outcome)
         .select(
-            key, group, measure, "group_size",
+            key, group, measure, F.when(enough, F.col("group_size")).alias("group_size"),
             F.when(scored, F.col("group_median")).alias("group_median"),
             F.when(scored, gap(F.col(measure), F.col("group_median"))).alias("gap"),
             "outcome",

@@ -168,28 +168,16 @@ def search_results(members: DataFrame, cap: int = RESULT_CAP) -> DataFrame:
     return members.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= cap)
 
 
-def responses(spark: SparkSession, grid: Grid, results: DataFrame) -> DataFrame:
-    """One row per search as the service answers it: ``places`` in rank order, or NULL."""
-    kept = [c for c in results.columns if c not in ("i", "j", "rank")]
-    packed = results.groupBy("i", "j").agg(
-        F.sort_array(F.collect_list(F.struct("rank", F.struct(*kept).alias("place"))))
-        .alias("ranked")
-    )
-    return tiles(spark, grid).join(packed, ["i", "j"], "left").select(
-        "i", "j", F.col("ranked.place").alias("places")
-    )
-
-
-def first_found(results: DataFrame) -> DataFrame:
+def first_found(results: DataFrame, key: str = "place_id") -> DataFrame:
     """One row per place id, from the first tile that holds it; rows without an id are dropped.
 
     Within a tile the first by rank counts, or the nearest if the rows have no rank. Only the first
     row of an id leaves each task, so a repeated id stays cheap.
     """
     within = "rank" if "rank" in results.columns else "distance_m"
-    order = W.partitionBy("place_id").orderBy("i", "j", within)
+    order = W.partitionBy(key).orderBy("i", "j", within)
     return (
-        results.filter(F.col("place_id").isNotNull() & (F.col("place_id") != ""))
+        results.filter(F.col(key).isNotNull() & (F.col(key) != ""))
         .withColumn("_nth", F.row_number().over(order))
         .filter(F.col("_nth") == 1)
         .drop("_nth")

@@ -105,7 +105,9 @@ ORACLE["bronze_scan"] = _with(RAW, """SELECT place_id AS id, name, latitude, lon
     price AS "priceLevel", user_rating_count AS "userRatingCount", false AS corrupt FROM raw""")
 ORACLE["bronze_roundtrip"] = _with(RAW, """SELECT place_id AS id, address AS "formattedAddress",
     array_to_string(types, '|') AS types FROM raw""")
-ORACLE["bronze_snapshot"] = _with(RAW, """
+ORACLE["bronze_arrays"] = _with(RAW, """SELECT place_id AS id, address AS "formattedAddress",
+    rating, array_to_string(types, '|') AS types, false AS corrupt FROM raw""")
+ORACLE["bronze_snapshot"] =_with(RAW, """
 SELECT '2026-08-20' AS snapshot, count(*) AS places, count(rating) AS rated
 FROM raw WHERE rating IS NOT NULL
 UNION ALL SELECT 'latest', count(*), count(rating) FROM raw""")
@@ -183,7 +185,19 @@ WHERE list_contains(types, 'cafe') OR list_contains(types, 'bakery')""")
 ORACLE["tile_topk"] = _with(MEMBERS, "SELECT i, j, rank, place_id, distance_m FROM results")
 ORACLE["tile_uncovered"] = _with(MEMBERS, """
 SELECT place_id FROM located WHERE place_id NOT IN (SELECT place_id FROM near)""")
-ORACLE["response_explode"] = _with(MEMBERS, "SELECT i, j, rank, place_id FROM results")
+ANSWERS = """answers AS (
+    SELECT l_orderkey AS i, concat('place_', l_partkey) AS place_id, l_quantity AS rating,
+        l_shipmode AS types, CAST(row_number() OVER (PARTITION BY l_orderkey
+            ORDER BY l_linenumber, concat('place_', l_partkey), l_quantity, l_shipmode) AS INTEGER)
+        AS rank
+    FROM lineitem
+)"""
+ORACLE["response_explode"] = _with(ANSWERS,
+    "SELECT i, rank, place_id, CAST(rating AS DOUBLE) AS rating, types FROM answers")
+ORACLE["ingest_answers"] = _with(ANSWERS, """
+SELECT place_id, CAST(rating AS DOUBLE) AS rating, types FROM (
+    SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY i, rank) AS nth FROM answers
+) WHERE nth = 1""")
 ORACLE["sweep_dedup"] = _with(MEMBERS, "SELECT place_id, i, j, distance_m FROM found")
 ORACLE["sweep_stats"] = _with(MEMBERS, """
 SELECT i, j, returned, new, CAST(sum(new) OVER (ORDER BY i, j) AS BIGINT) AS total FROM per_tile""")
@@ -296,7 +310,8 @@ WITH stats AS (
             WHEN group_size < 5 THEN 'small_group' END AS outcome
     FROM {table} t LEFT JOIN stats s ON t.{group} = s.{group}
 )
-SELECT {key}, {group}, {measure}, group_size,
+SELECT {key}, {group}, {measure},
+    CASE WHEN outcome <> 'low_support' THEN group_size END AS group_size,
     CASE WHEN outcome = 'scored' THEN median END AS group_median,
     CASE WHEN outcome = 'scored' THEN round({measure} - median, 2) END AS gap, outcome
 FROM judged"""
@@ -305,6 +320,9 @@ FROM judged"""
 ORACLE["gap_customer_nation"] = _gap("customer", "c_custkey", "c_nationkey", "c_acctbal")
 ORACLE["gap_part_brand"] = _gap("part", "p_partkey", "p_brand", "p_retailprice", "p_size >= 5")
 ORACLE["gap_event_type"] = _gap("events", "event_id", "event_type", "value")
+ORACLE["gap_line_price"] = _gap(
+    "(SELECT *, concat(l_orderkey, '-', l_linenumber) AS line FROM lineitem)",
+    "line", "l_returnflag", "l_extendedprice", "l_quantity >= 5")
 
 
 # -- gates -----------------------------------------------------------------------------------

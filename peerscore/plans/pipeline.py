@@ -31,6 +31,10 @@ class CorruptInput(RuntimeError):
     pass
 
 
+class MissingLayer(RuntimeError):
+    pass
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     bronze_path: str
@@ -83,53 +87,80 @@ class Stored:
     seen: dict
 
 
-def _store(write: Callable[[DataFrame], str], df: DataFrame, *metrics: Column) -> Stored:
+def _store(
+    write: Callable[[DataFrame], str], read: Callable[[str], DataFrame], df: DataFrame,
+    *metrics: Column,
+) -> Stored:
     """Write a table, count its rows on the way, and read it back."""
     seen = Observation()
     path = write(df.observe(seen, F.count("*").alias("rows"), *metrics))
-    return Stored(path, df.sparkSession.read.schema(df.schema).parquet(path), seen.get)
+    return Stored(path, read(path), seen.get)
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
-    """One whole run. Each version is gated before it becomes visible, and both gold tables pass
-    their gate before they become visible together and are published."""
-    report = PipelineReport()
-    silver = VersionedTable(spark, cfg.silver_path, cfg.silver_buckets)
+def _silver(spark: SparkSession, cfg: PipelineConfig) -> VersionedTable:
+    return VersionedTable(spark, cfg.silver_path, cfg.silver_buckets)
+
+
+def build_silver(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
+    """Clean the snapshot and merge it; the new version is visible once it has passed its gate."""
+    silver = _silver(spark, cfg)
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     batch_path = scratch_path(spark, "batch")
     try:
         batch, counts = write_batch(bronze, cfg.run_date, batch_path)
-        places = _store(silver.stage, next_silver(silver, batch, cfg.policy))
+        places = _store(silver.stage, silver.open, next_silver(silver, batch, cfg.policy))
     finally:
         files.remove(spark, batch_path)
-    report.rows |= {"bronze": counts["rows"], "batch": counts["kept"], "silver": places.seen["rows"]}
-    report.dropped |= {rule: counts[rule] for rule in RULES}
-
     require("silver", silver_checks(places.rows))
     silver.promote(places.path)
+    return PipelineReport(
+        {"bronze": counts["rows"], "batch": counts["kept"], "silver": places.seen["rows"]},
+        {rule: counts[rule] for rule in RULES},
+    )
 
+
+def build_gold(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
+    """Score the current silver version; both tables pass their gate, then are visible together."""
+    places = _silver(spark, cfg).read()
+    if places is None:
+        raise MissingLayer(f"no silver version at {cfg.silver_path}")
     gold = VersionedTable(spark, cfg.gold_path)
     version = gold.next_path()
     other = F.count_if(F.col("category") == "other").alias("other")
-    scored, unqualified = score_places(places.rows)
+    scored, unqualified = score_places(places)
     tables = {
-        name: _store(partial(gold.stage_part, version, name), df, other)
+        name: _store(partial(gold.stage_part, version, name), spark.read.parquet, df, other)
         for name, df in {SCORED: scored, UNQUALIFIED: unqualified}.items()
     }
-    report.rows |= {name: stored.seen["rows"] for name, stored in tables.items()}
-    # Places with a NULL review count or district are in neither gold table.
-    report.dropped["neither_gold_table"] = (
-        report.rows["silver"] - report.rows[SCORED] - report.rows[UNQUALIFIED]
-    )
+    rows = {name: stored.seen["rows"] for name, stored in tables.items()}
     others = sum(stored.seen["other"] for stored in tables.values())
     if others:
         log.warning("%d places are neither cafe nor bakery", others)
-
     require("gold", gold_checks(tables[SCORED].rows, tables[UNQUALIFIED].rows))
     gold.promote(version)
+    # Places with a NULL review count or district are in neither gold table.
+    return PipelineReport(rows, {"neither_gold_table": places.count() - sum(rows.values())})
+
+
+def publish_current(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """Publish the current gold version; returns the row counts read back."""
+    gold = VersionedTable(spark, cfg.gold_path)
+    tables = {name: gold.read_part(name) for name in (SCORED, UNQUALIFIED)}
+    if None in tables.values():
+        raise MissingLayer(f"no gold version at {cfg.gold_path}")
+    ensure_database(spark, cfg.database, cfg.database_location)
+    return publish_all(tables, cfg.database)
+
+
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
+    """One whole run: silver, gold, and the published tables if a database is named.
+
+    Each stage starts from what the one before made visible, so a failed stage is run again alone.
+    """
+    report = build_silver(spark, cfg)
+    gold = build_gold(spark, cfg)
     if cfg.database:
-        ensure_database(spark, cfg.database, cfg.database_location)
-        publish_all({name: stored.rows for name, stored in tables.items()}, cfg.database)
-    silver.prune(cfg.keep_versions)
-    gold.prune(cfg.keep_versions)
-    return report
+        publish_current(spark, cfg)
+    _silver(spark, cfg).prune(cfg.keep_versions)
+    VersionedTable(spark, cfg.gold_path).prune(cfg.keep_versions)
+    return PipelineReport(report.rows | gold.rows, report.dropped | gold.dropped)

@@ -11,6 +11,7 @@ from peerscore.functions import address_parts, district, has_thai, in_region, pr
 from peerscore.operators import merge as merging
 from peerscore.operators import quality, scoring, silver, tiles
 from peerscore.plans import tables
+from peerscore.plans.ingest import land_answers
 from peerscore.plans.pipeline import (
     SCORED,
     UNQUALIFIED,
@@ -61,6 +62,18 @@ def bronze_roundtrip(spark, sf_dir):
     return bronze.read_bronze(spark, path).select("id", "formattedAddress", joined("types"))
 
 
+@query
+def bronze_arrays(spark, sf_dir):
+    """The snapshot as files of one array each, of at most 5,000 places."""
+    path = scratch_path(spark, "bronze")
+    number = F.expr("CAST(substring(id, 7) AS BIGINT) DIV 5000")
+    bronze.write_arrays(raw_places(spark, sf_dir), path, number)
+    return bronze.read_bronze(spark, path, multi_line=True).select(
+        "id", "formattedAddress", F.col("rating").try_cast("double").alias("rating"),
+        joined("types"), F.col(bronze.CORRUPT).isNotNull().alias("corrupt"),
+    )
+
+
 @query
 def bronze_snapshot(spark, sf_dir):
     root = scratch_path(spark, "lake")
@@ -114,11 +127,29 @@ def tile_uncovered(spark, sf_dir):
     return tiles.uncovered(tables.located_places(spark, sf_dir), tiles.Grid()).select("place_id")
 
 
+def _landed_answers(spark, sf_dir):
+    path = scratch_path(spark, "answers")
+    tables.order_answers(spark, sf_dir).write.json(path)
+    return path
+
+
 @query
 def response_explode(spark, sf_dir):
-    members = tiles.tile_members(tables.located_places(spark, sf_dir), tiles.Grid())
-    answers = tiles.responses(spark, tiles.Grid(), tiles.search_results(members))
-    return bronze.explode_responses(answers).select("i", "j", "rank", "place_id")
+    answers = bronze.read_answers(spark, _landed_answers(spark, sf_dir))
+    return bronze.explode_responses(answers).select(
+        "i", "rank", F.col("id").alias("place_id"),
+        F.col("rating").try_cast("double").alias("rating"), joined("types"),
+    )
+
+
+@query
+def ingest_answers(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    land_answers(spark, _landed_answers(spark, sf_dir), root, RUN_DATE)
+    return bronze.read_snapshot(spark, root).select(
+        F.col("id").alias("place_id"), F.col("rating").try_cast("double").alias("rating"),
+        joined("types"),
+    )
 
 
 @query
@@ -333,6 +364,17 @@ def gap_part_brand(spark, sf_dir):
     )
 
 
+@query
+def gap_line_price(spark, sf_dir):
+    """Nearly every price differs, and a return flag has a third of all lines or more."""
+    lines = tables.table(spark, sf_dir, "lineitem").withColumn(
+        "line", F.concat_ws("-", "l_orderkey", "l_linenumber")
+    )
+    return scoring.gap_to_group_median(
+        lines, "line", "l_returnflag", "l_extendedprice", support="l_quantity"
+    )
+
+
 @query
 def gap_event_type(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events")

@@ -67,6 +67,25 @@ def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search answers (i, j, places), one per order: the parts of its lines in line order.
+
+    The part numbers of a line repeat across orders as places repeat across overlapping circles.
+    An order has a handful of lines.
+    """
+    place = F.struct(
+        F.concat(F.lit("place_"), "l_partkey").alias("id"),
+        F.col("l_quantity").alias("rating"),
+        F.array("l_shipmode").alias("types"),
+    )
+    line = F.struct("l_linenumber", place.alias("place"))
+    return (
+        table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("i"))
+        .agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        .select("i", F.lit(0).alias("j"), F.col("lines.place").alias("places"))
+    )
+
+
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows of a first run, for queries that read them once."""
     return first_version(clean(raw_places(spark, sf_dir), RUN_DATE))

@@ -8,7 +8,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, StringType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # A table is broadcast only when it has been measured to stay below both bounds.
 BROADCAST_ROWS = 2_000_000
@@ -40,13 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _width(df: DataFrame) -> Column:
-    """Bytes of a row, about."""
+    """Bytes of a row, about: 16 a column, and the text of each value that has no fixed width."""
+    fixed = (NumericType, DateType, BooleanType, TimestampType, TimestampNTZType)
     width = F.lit(16 * len(df.columns)).cast("long")
     for field in df.schema:
-        if isinstance(field.dataType, StringType):
-            width += F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif not isinstance(field.dataType, (NumericType, DateType, BooleanType)):
-            raise TypeError(f"no size rule for {field.name}: {field.dataType}")
+        if not isinstance(field.dataType, fixed):
+            value = F.col(field.name)
+            if not isinstance(field.dataType, (StringType, BinaryType)):
+                value = value.cast("string")
+            width += F.coalesce(F.octet_length(value), F.lit(0))
     return width
 
 
@@ -102,6 +112,18 @@ class Groups:
             .unionByName(rows.join(hot_keys, self.keys, "left_anti").join(others, self.keys, how))
         )
 
+    def judge(self, rows: DataFrame, counts: Column) -> DataFrame:
+        """All rows, those that count with their group's columns.
+
+        ``size`` is the number of rows that count. The others, which may be any number in one
+        group or have none, never enter a shuffle; theirs are NULL if the table is not small.
+        """
+        if self.small:
+            return rows.join(F.broadcast(self.df), self.keys, "left")
+        counts = F.coalesce(counts, F.lit(False))
+        known = self.join(rows.filter(counts), "left")
+        return known.unionByName(rows.filter(~counts), allowMissingColumns=True)
+
     def join_hot(self, rows: DataFrame) -> DataFrame:
         """Inner join to a table of which only hot groups are left."""
         few = self.small or self.few_hot

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from peerscore.schemas import BRONZE, CORRUPT
 from peerscore.sources import files
@@ -66,6 +66,29 @@ def checked_date(text: str) -> date:
         raise ValueError(f"run date must be YYYY-MM-DD, got {text!r}") from error
 
 
+def write_arrays(df: DataFrame, path: str, file: Column) -> None:
+    """Files of one top-level JSON array each, for ``read_bronze(multi_line=True)``.
+
+    ``file`` numbers the array that a row goes to. One task holds an array, so keep them small.
+    """
+    record = F.to_json(F.struct(*[c for c in BRONZE.names if c in df.columns]))
+    records = F.array_join(F.collect_list("record"), ",\n")
+    (
+        df.select(file.alias("file"), record.alias("record")).groupBy("file")
+        .agg(F.concat(F.lit("["), records, F.lit("]")).alias("value"))
+        .write.mode("errorifexists").partitionBy("file").text(path)
+    )
+
+
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """Landed search answers, JSON Lines of (i, j, places); one that does not parse ends the job."""
+    places = ArrayType(BRONZE)
+    schema = StructType([
+        StructField("i", LongType()), StructField("j", LongType()), StructField("places", places),
+    ])
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def explode_responses(responses: DataFrame) -> DataFrame:
     """One row per place of each search response; a missing ``places`` array yields none.
 

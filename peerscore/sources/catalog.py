@@ -1,8 +1,16 @@
-"""Publishing gold tables to the session catalog, replaced in full on every run."""
+"""Publishing gold tables to the session catalog, replaced in full on every run.
+
+A published name is a view of one immutable table, ``<name>__<time>``. All tables of a run are
+written and counted before the first name is pointed at them, so a run that dies while it writes
+leaves every name as it was.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -10,19 +18,46 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
-def publish(df: DataFrame, database: str, table: str) -> int:
-    """Replace a table and return the row count read back from it."""
+def _write(df: DataFrame, database: str, name: str) -> int:
+    """Write a new table, and compare what arrived with what was sent."""
+    seen = Observation()
+    counted = df.observe(seen, F.count("*").alias("rows"))
+    counted.write.mode("errorifexists").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+    sent, arrived = seen.get["rows"], df.sparkSession.table(f"`{database}`.`{name}`").count()
+    if arrived != sent:
+        raise RuntimeError(f"{database}.{name}: sent {sent} rows, read back {arrived}")
+    return arrived
+
+
+def _point(spark: SparkSession, database: str, table: str, version: str) -> None:
     name = f"`{database}`.`{table}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name).count()
-
-
-def publish_all(tables: dict[str, DataFrame], database: str) -> dict[str, int]:
-    """Publish stored tables and compare what arrived with what was sent."""
-    arrived = {}
-    for table, df in tables.items():
-        sent = df.count()
-        arrived[table] = publish(df, database, table)
-        if arrived[table] != sent:
-            raise RuntimeError(f"{database}.{table}: sent {sent} rows, read back {arrived[table]}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a plain table of an older release
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM `{database}`.`{version}`")
+
+
+def _versions(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Tables that were written for a name, oldest first."""
+    names = (t.name for t in spark.catalog.listTables(database))
+    return sorted(n for n in names if n.startswith(f"{table}__"))
+
+
+def publish_all(tables: dict[str, DataFrame], database: str, keep: int = 2) -> dict[str, int]:
+    """Replace stored tables together; returns the row counts read back.
+
+    The newest ``keep`` tables of each name stay, for readers that started on the one before.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    time = datetime.now(UTC).strftime("%Y%m%d%H%M%S%f")
+    names = {table: f"{table}__{time}" for table in tables}
+    try:
+        arrived = {table: _write(df, database, names[table]) for table, df in tables.items()}
+    except Exception:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        raise
+    for table, name in names.items():
+        _point(spark, database, table, name)
+        for old in _versions(spark, database, table)[:-keep]:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
     return arrived

@@ -78,7 +78,7 @@ class VersionedTable:
 
     @staticmethod
     def _entry(path: str) -> str:
-        return f"version_{hashlib.md5(path.encode()).hexdigest()}"
+        return f"default.version_{hashlib.md5(path.encode()).hexdigest()}"
 
     def next_path(self) -> str:
         versions = self._versions()

@@ -4,10 +4,13 @@ from datetime import date
 import pytest
 
 from peerscore.operators.merge import DuplicateKeys
-from peerscore.operators.quality import GateFailed
+from peerscore.operators.quality import GateFailed, silver_checks
 from peerscore.plans import pipeline as p
+from peerscore.plans.ingest import land_answers
+from peerscore.sources import catalog
+from peerscore.sources.bronze import snapshot_dates
 from peerscore.sources.versions import VersionedTable
-from tests.helpers import land, place
+from tests.helpers import land, place, plan
 
 
 def records(n, rating=4.0, district="Watthana"):
@@ -92,6 +95,61 @@ def test_repeated_ids_merge_nothing(spark, config):
     assert VersionedTable(spark, good.silver_path).current() == before
 
 
+def test_answers_with_repeated_places_become_a_snapshot(spark, tmp_path):
+    first, again = place(id="p", rating=3.0), place(id="p", rating=2.0)
+    answers = [
+        {"i": 1, "j": 0, "places": [again, *records(5)]}, {"i": 0, "j": 2, "places": [first]},
+        {"i": 0, "j": 3}, {"i": 2, "j": 0, "places": [*records(2), place(id=""), place(id=...)]},
+    ]
+    path = land_answers(spark, land(tmp_path / "answers", answers), str(tmp_path), "2026-08-27")
+    cfg = p.PipelineConfig(path, str(tmp_path / "silver"), str(tmp_path / "gold"), "2026-08-27")
+    assert p.run_pipeline(spark, cfg).rows["silver"] == 6
+    silver = {r["place_id"]: r["rating"] for r in VersionedTable(spark, cfg.silver_path).read().collect()}
+    assert silver["p"] == 3.0
+    with pytest.raises(Exception, match="(?i)malformed"):
+        land_answers(spark, land(tmp_path / "torn", ['{"i": 1']), str(tmp_path), "2026-08-28")
+    assert snapshot_dates(spark, str(tmp_path)) == ["2026-08-27"]
+
+
+def test_stages_run_alone(spark, config):
+    cfg = config("1", records(6), database="peerscore_stages")
+    for stage in (p.build_gold, p.publish_current):
+        with pytest.raises(p.MissingLayer):
+            stage(spark, cfg)
+    assert p.build_silver(spark, cfg).rows["silver"] == 6
+    assert p.build_gold(spark, cfg).rows == {p.SCORED: 6, p.UNQUALIFIED: 0}
+    assert p.publish_current(spark, cfg) == {p.SCORED: 6, p.UNQUALIFIED: 0}
+    spark.sql("DROP DATABASE peerscore_stages CASCADE")
+
+
+def test_failed_publish_leaves_both_names(spark, config, monkeypatch):
+    cfg = config("1", records(6), database="peerscore_half")
+    p.run_pipeline(spark, cfg)
+    p.build_silver(spark, config("2", records(8)))
+    p.build_gold(spark, cfg)
+    write = catalog._write
+    monkeypatch.setattr(catalog, "_write", lambda df, d, name: (
+        write(df, d, name) if name.startswith(p.SCORED) else 1 / 0
+    ))
+    with pytest.raises(ZeroDivisionError):
+        p.publish_current(spark, cfg)
+    assert spark.table(f"peerscore_half.{p.SCORED}").count() == 6
+    monkeypatch.undo()
+    for _ in range(3):
+        assert p.publish_current(spark, cfg)[p.SCORED] == 8
+    assert spark.table(f"peerscore_half.{p.SCORED}").count() == 8
+    names = [t.name for t in spark.catalog.listTables("peerscore_half")]
+    assert len(names) == 6  # two names, two tables for each
+    spark.sql("DROP DATABASE peerscore_half CASCADE")
+
+
+def test_gate_of_bucketed_silver_shuffles_no_ids(spark, config):
+    cfg = config("1", records(6), silver_buckets=4)
+    p.build_silver(spark, cfg)
+    silver = VersionedTable(spark, cfg.silver_path, 4).read()
+    assert "hashpartitioning(place_id" not in plan(silver_checks(silver))
+
+
 def test_failed_silver_gate_changes_nothing(spark, config):
     p.run_pipeline(spark, good := config("1", records(6)))
     before = VersionedTable(spark, good.silver_path).current()

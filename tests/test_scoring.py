@@ -1,4 +1,6 @@
 import random
+from datetime import datetime
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +188,71 @@ def test_score_places_of_more_districts_than_broadcast(spark, monkeypatch, bound
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize(("kind", "draw"), [
+    ("bigint", lambda rng: 9007199254740993 + rng.randint(0, 400)),
+    ("bigint", lambda rng: rng.choice([-(2**63), 2**63 - 1, rng.randint(-9, 9)])),
+    ("int", lambda rng: rng.randint(-2**31, 2**31 - 1)),
+    ("decimal(38,19)", lambda rng: Decimal(rng.randint(0, 30)).scaleb(-19) + 5),
+    ("decimal(38,0)", lambda rng: Decimal(rng.randint(-(10**38) + 1, 10**38 - 1))),
+    ("float", lambda rng: float(rng.randint(-64, 64)) / 8),
+])
+@pytest.mark.parametrize("open_rows", [1, 60])
+def test_exact_medians_keep_the_type(spark, kind, draw, open_rows):
+    rng = random.Random(4)
+    with localcontext(prec=60):
+        rows = [("hot" if i % 3 else f"g{i % 5}", draw(rng)) for i in range(300)]
+        rows += [("one", rows[0][1])] * 3
+        df = spark.createDataFrame(rows, f"g string, v {kind}")
+        found = medians.exact_medians(df, ["g"], "v", cells=16, open_rows=open_rows)
+        assert found.schema["group_median"].dataType == df.schema["v"].dataType
+        assert by_group(found) == lower_medians(rows)
+        assert by_group(medians.scale_medians(df, ["g"], "v", most_values=3)) == lower_medians(rows)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_nan_is_no_value(spark, method):
+    nan = float("nan")
+    rows = [("a", x) for x in (1.0, 2.0, 3.0, nan, nan, nan, nan, None)] + [("b", nan)]
+    found = scoring.MEDIANS[method](spark.createDataFrame(rows, "g string, v double"), ["g"], "v")
+    assert by_group(found) == {"a": (8, 2.0), "b": (1, None)}
+
+
+def test_groups_of_any_type(spark):
+    day, other = datetime(2026, 8, 27, 10), datetime(2026, 8, 28)
+    rows = [(i, day, [1, 2], float(i)) for i in range(5)] + [(5, other, [3], 1.0)]
+    df = spark.createDataFrame(rows, "id int, t timestamp, a array<int>, v double")
+    for group in ("t", "a"):
+        found = scoring.gap_to_group_median(df, "id", group, "v").collect()
+        assert sorted((r["id"], r["outcome"], r["group_median"]) for r in found)[:5] == [
+            (i, "scored", 2.0) for i in range(5)
+        ]
+
+
+def test_rows_that_do_not_count_are_not_shuffled(spark, monkeypatch):
+    """A crowded district of low-review places, and rows without a group, stay where they are."""
+    rows = [r for k in "ABCDEFG" for r in district(k, steps(6))]
+    rows += [silver_row(f"low-{i}", khet="Low", user_rating_count=1) for i in range(400)]
+    rows += [silver_row("near", khet="Low")]
+    places = stage(silver_table(spark, rows).repartition(8, "place_id"), "silver")
+    values = places.select("place_id", F.nullif("khet", F.lit("Low")).alias("khet"), "rating")
+    monkeypatch.setattr("peerscore.session.BROADCAST_ROWS", 1)
+    monkeypatch.setattr(scoring.settle_groups, "__kwdefaults__", {"hot_rows": 100})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        tables = [
+            scoring.score_places(places)[1],
+            scoring.gap_to_group_median(values, "place_id", "khet", "rating"),
+        ]
+        for df, n in zip(tables, (401, 443), strict=True):
+            per_task = df.groupBy(F.spark_partition_id()).count().collect()
+            assert sum(r["count"] for r in per_task) == n
+            assert max(r["count"] for r in per_task) < 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_gap_outcomes(spark):
     rows = [(i, "a", float(i), 9) for i in range(5)] + [
         (10, "a", 100.0, 1), (11, "b", 1.0, 9), (12, None, 1.0, 9), (13, "a", 1.0, None),

@@ -157,14 +157,6 @@ def test_sweep_statistics(spark):
     }
 
 
-def test_responses_keep_rank_order(spark):
-    grid = tiles.Grid(0.0, 0.0, 0.0, 0.01)
-    results = found(spark, [("b", 0, 0, 2), ("a", 0, 0, 1)])
-    answers = {r["j"]: r["places"] for r in tiles.responses(spark, grid, results).collect()}
-    assert [p["place_id"] for p in answers[0]] == ["a", "b"]
-    assert answers[1] is None
-
-
 def test_bounding_grid(spark):
     _, df = scattered(spark, CITY, 20)
     grid = tiles.bounding_grid(df)
