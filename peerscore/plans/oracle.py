@@ -187,8 +187,8 @@ ORACLE["tile_uncovered"] = _with(MEMBERS, """
 SELECT place_id FROM located WHERE place_id NOT IN (SELECT place_id FROM near)""")
 ANSWERS = """answers AS (
     SELECT l_orderkey AS i, concat('place_', l_partkey) AS place_id, l_quantity AS rating,
-        l_shipmode AS types, CAST(row_number() OVER (PARTITION BY l_orderkey
-            ORDER BY l_linenumber, concat('place_', l_partkey), l_quantity, l_shipmode) AS INTEGER)
+        l_returnflag AS types, CAST(row_number() OVER (PARTITION BY l_orderkey
+            ORDER BY l_linenumber, concat('place_', l_partkey), l_quantity, l_returnflag) AS INTEGER)
         AS rank
     FROM lineitem
 )"""

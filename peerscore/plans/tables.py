@@ -76,7 +76,7 @@ def order_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.struct(
         F.concat(F.lit("place_"), "l_partkey").alias("id"),
         F.col("l_quantity").alias("rating"),
-        F.array("l_shipmode").alias("types"),
+        F.array("l_returnflag").alias("types"),
     )
     line = F.struct("l_linenumber", place.alias("place"))
     return (

@@ -46,7 +46,7 @@ def test_settling_measures_on_the_way(spark):
 
 def test_size_counts_the_text_of_other_types(spark):
     df = spark.createDataFrame([([1] * 100,)], "a array<int>")
-    assert settle(df)[1]["bytes"] > 300
+    assert session.settle(df)[1]["bytes"] > 300
 
 
 @pytest.mark.parametrize(("rows", "size", "small"), [
