@@ -165,12 +165,14 @@ def mix(
     """
     found = mixed(docs, id_col, text, source, share, most, weights)
     taken = found.select(
-        F.col(id_col).alias("__id"), F.col("hash").alias("__hash"),
+        F.col("hash").alias("__hash"), F.col("source").alias("__source"),
         F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int").alias("__n"),
     ).filter("__n > 0").distinct()
     digest = F.md5(F.concat_ws(
         " ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))
     ))
-    keyed = docs.withColumn("__hash", digest)
-    joined = keyed.join(taken.drop("__id"), "__hash")
+    keyed = docs.withColumn("__key", digest)
+    # rows equal in id and text may be of several sources, each with its own copies
+    same = (F.col("__key") == F.col("__hash")) & F.col(source).eqNullSafe(F.col("__source"))
+    joined = keyed.join(taken, same)
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)

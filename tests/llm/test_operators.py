@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,19 @@ def test_mix(docs, table):
     assert mixing.mix(docs).count() == copies
 
 
+def test_mix_of_rows_equal_but_for_their_source(spark):
+    rows = [(1, "x y", s) for s in ("a", "b", None)]
+    rows += [(k, "w " * (k % 5), ("a", "b", None)[k % 3]) for k in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    expected = {
+        (r["doc_id"], r["source"]): r["copies"] if r["size"] else 1
+        for r in mixing.mixed(docs).collect()
+    }
+    assert len({expected[1, s] for s in ("a", "b", None)}) > 1
+    found = Counter((r["doc_id"], r["source"]) for r in mixing.mix(docs).collect())
+    assert found == Counter(expected)
+
+
 def test_spans(spark, table):
     known = sorted({r[:2] for r in table if r[0] is not None and r[1] is not None})
     docs = spark.createDataFrame(known, "doc_id long, text string").repartition(4)
