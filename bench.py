@@ -2,19 +2,24 @@
 
 Reads $BENCH_SF_DIR (default sf0.1) on local[$BENCH_CPUS]. Every query is run once to warm the
 JVM up; the better of two further runs counts, from building its plan to writing its last row to
-the noop sink.
+the noop sink. The last run's jobs, megabytes read and megabytes shuffled come from the event log,
+which goes to a temporary folder.
 """
 
 import json
 import os
 import sys
+import tempfile
 import time
+from collections import defaultdict
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from peerscore.plans.queries import QUERIES  # noqa: E402
+from peerscore.session import scratch_scope  # noqa: E402
 
 HEADLINE = [
     "bronze_scan", "tile_topk", "sweep_stats", "silver_flatten", "drop_funnel", "silver_merge",
@@ -24,7 +29,33 @@ HEADLINE = [
 ]
 
 
+#: The local property that tells which query a job belongs to.
+TAG = "peerscore.query"
+
+
+def plan_figures(folder: str) -> dict[str, dict[str, float]]:
+    """Jobs, MB read and MB written to shuffles of each tagged query."""
+    jobs, read, shuffled, owner = defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for path in Path(folder).iterdir():
+        with path.open() as lines:
+            for event in map(json.loads, lines):
+                if event["Event"] == "SparkListenerJobStart":
+                    if name := event.get("Properties", {}).get(TAG):
+                        jobs[name] += 1
+                        owner.update({i: name for i in event["Stage IDs"] if i not in owner})
+                elif event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in owner:
+                    name, metrics = owner[event["Stage ID"]], event.get("Task Metrics") or {}
+                    read[name] += metrics.get("Input Metrics", {}).get("Bytes Read", 0)
+                    written = metrics.get("Shuffle Write Metrics", {})
+                    shuffled[name] += written.get("Shuffle Bytes Written", 0)
+    return {
+        x: {"jobs": jobs[x], "read_mb": round(read[x] / 1e6, 2), "shuffle_mb": round(shuffled[x] / 1e6, 2)}
+        for x in jobs
+    }
+
+
 def main() -> None:
+    events = tempfile.mkdtemp(prefix="peerscore-events-")
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
@@ -36,21 +67,28 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", f"file://{events}")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.rolling.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:
         runs = []
-        for _ in range(3):
+        for last in (False, False, True):
+            spark.sparkContext.setLocalProperty(TAG, name if last else None)
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
+            with scratch_scope(spark):
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - start)
         seconds[name] = round(min(runs[1:]), 3)
     total = round(sum(seconds.values()), 3)
     spark.stop()
     print(json.dumps({
         "metric": "total_query_time", "value": total, "unit": "sec", "queries": seconds,
+        "plans": plan_figures(events),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 

@@ -15,8 +15,7 @@ from peerscore.operators.merge import BATCH_WINS, check_keys, merge
 from peerscore.operators.quality import gold_checks, require, silver_checks
 from peerscore.operators.scoring import score_places
 from peerscore.operators.silver import RULES, clean, first_version
-from peerscore.session import scratch_path
-from peerscore.sources import files
+from peerscore.session import scratch_path, scratch_scope
 from peerscore.sources.bronze import checked_date, read_bronze
 from peerscore.sources.catalog import ensure_database, publish_all
 from peerscore.sources.versions import VersionedTable
@@ -105,12 +104,9 @@ def build_silver(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     """Clean the snapshot and merge it; the new version is visible once it has passed its gate."""
     silver = _silver(spark, cfg)
     bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
-    batch_path = scratch_path(spark, "batch")
-    try:
-        batch, counts = write_batch(bronze, cfg.run_date, batch_path)
+    with scratch_scope(spark):
+        batch, counts = write_batch(bronze, cfg.run_date, scratch_path(spark, "batch"))
         places = _store(silver.stage, silver.open, next_silver(silver, batch, cfg.policy))
-    finally:
-        files.remove(spark, batch_path)
     require("silver", silver_checks(places.rows))
     silver.promote(places.path)
     return PipelineReport(
@@ -127,11 +123,12 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     gold = VersionedTable(spark, cfg.gold_path)
     version = gold.next_path()
     other = F.count_if(F.col("category") == "other").alias("other")
-    scored, unqualified = score_places(places)
-    tables = {
-        name: _store(partial(gold.stage_part, version, name), spark.read.parquet, df, other)
-        for name, df in {SCORED: scored, UNQUALIFIED: unqualified}.items()
-    }
+    with scratch_scope(spark):
+        scored, unqualified = score_places(places)
+        tables = {
+            name: _store(partial(gold.stage_part, version, name), spark.read.parquet, df, other)
+            for name, df in {SCORED: scored, UNQUALIFIED: unqualified}.items()
+        }
     rows = {name: stored.seen["rows"] for name, stored in tables.items()}
     others = sum(stored.seen["other"] for stored in tables.values())
     if others:

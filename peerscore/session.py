@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,6 +21,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from peerscore.sources import files
+
 # A table is broadcast only when it has been measured to stay below both bounds.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -43,8 +48,31 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: Paths handed out within the innermost scope; None outside of any.
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (paths := _handed_out.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, also after a failure, what was staged within.
+
+    Tables are lazy: whatever is to be kept must be written before the scope ends.
+    """
+    paths: list[str] = []
+    outer = _handed_out.set(paths)
+    try:
+        yield
+    finally:
+        _handed_out.reset(outer)
+        for path in paths:
+            files.remove(spark, path)
 
 
 def _width(df: DataFrame) -> Column:

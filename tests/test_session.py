@@ -1,4 +1,6 @@
+import os
 import types
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,10 @@ from pyspark.sql import functions as F
 from peerscore import session
 
 
+def on_disk(uri):
+    return os.path.exists(urlparse(uri).path)
+
+
 def fake(master, checkpoint=None):
     """A session without spark.checkpoint.dir, and the folders it was given."""
     given = []
@@ -23,6 +29,19 @@ def test_the_named_folder_is_used(spark):
     assert first != second and first.startswith(named)
 
 
+def test_a_scope_removes_what_was_staged_within(spark):
+    df = spark.range(3).toDF("n")
+    outside = session.stage(df, "outside")
+    with session.scratch_scope(spark):
+        first = session.stage(df, "first").inputFiles()
+        with pytest.raises(ValueError, match="stop"), session.scratch_scope(spark):
+            second = session.stage(df, "second").inputFiles()
+            raise ValueError("stop")
+        third = session.stage(df, "third").inputFiles()
+        assert not any(map(on_disk, second)) and all(map(on_disk, first + third))
+    assert not any(map(on_disk, first + third)) and outside.count() == 3
+
+
 def test_a_cluster_must_name_a_shared_folder():
     cluster, _ = fake("spark://host:7077")
     with pytest.raises(RuntimeError, match="shared by all executors"):
