@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peerscore.llm import line_dedup, mixing, ngram_join, quality_classifier, sentencepiece
 from peerscore.llm.queries import GOOD, PIECES
-from peerscore.session import scratch_path
+from peerscore.session import scratch_path, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -60,6 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):  # what the operator staged goes; what it returns stays
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
