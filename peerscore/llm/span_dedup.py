@@ -6,6 +6,7 @@ joined across the corpus. A sentence that is covered by a run found earlier is r
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,16 +21,69 @@ from peerscore.session import scratch_root, stage
 
 #: Bits of the filter that keeps spans which occur once from being shuffled a second time.
 BITS = 1 << 25
+#: Scripts written without blanks (first and last code point); each character is a word.
+UNSPACED = np.array([
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x9FFF), (0xF900, 0xFAFF),
+    (0xFF00, 0xFF9F), (0x20000, 0x3FFFF),
+])
+#: Their sentence marks, and their marks that stay with the character before.
+STOPS = np.array([ord(c) for c in "\u3002\uff01\uff1f\uff61\u104b\u17d4"])
+JOINED = np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x3100)])
 
 
 @dataclass(frozen=True)
 class Params:
     """A span is the shortest run, from each sentence on, of at least ``sentences`` sentences with
-    at least ``min_words`` words together. Sentences end at ``.``, ``!`` or ``?`` before a blank, at a newline, and after ``max_words`` words."""
+    at least ``min_words`` words together. Sentences end at ``.``, ``!`` or ``?`` before a blank, at
+    a newline, and at the marks of scripts without blanks, in which each character is a word.
+
+    A sentence of over ``max_words`` words is also cut before every pair of words whose hash is the
+    first smallest among ``window`` successive pairs of the sentence, unless just two of them have
+    it, so that the same words are cut alike whatever precedes them; where that leaves more, after
+    ``max_words`` words."""
 
     sentences: int = 2
     min_words: int = 12
     max_words: int = 16
+    window: int = 10
+
+
+def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words as in arrays, but scripts without blanks are split by character; and which words end
+    a sentence by a mark."""
+    starts, ends, before = arrays.words(data, at)
+    stop = np.isin(data[ends - 1], np.frombuffer(b".!?", dtype=np.uint8))
+    place = np.flatnonzero(data >= 0xE0)
+    if not len(place):
+        return starts, ends, before, stop
+    four = data[place] >= 0xF0
+    byte = [data[np.minimum(place + k, len(data) - 1)].astype(np.int64) & 63 for k in range(4)]
+    code = np.where(
+        four, (byte[0] & 7) << 18 | byte[1] << 12 | byte[2] << 6 | byte[3],
+        (byte[0] & 15) << 12 | byte[1] << 6 | byte[2],
+    )
+    at_range = np.searchsorted(UNSPACED[:, 0], code, "right") - 1
+    unspaced = (at_range >= 0) & (code <= UNSPACED[at_range, 1])
+    place, size, code = place[unspaced], 3 + four[unspaced], code[unspaced]
+    joined = place[JOINED[np.minimum(code, len(JOINED) - 1)] & (code < len(JOINED))]
+    cuts = np.setdiff1d(np.union1d(place, place + size), joined)
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = cuts[arrays.IS_WORD[data[cuts]] & arrays.IS_WORD[data[cuts - 1]]]
+    starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
+    stop = np.isin(data[ends - 1], np.frombuffer(b".!?", dtype=np.uint8))
+    stop |= np.isin(ends, (place + size)[np.isin(code, STOPS)])
+    return starts, ends, np.searchsorted(starts, at), stop
+
+
+def _cuts(hashes: np.ndarray, heads: np.ndarray, long: np.ndarray, params: Params) -> np.ndarray:
+    """The words before which content cuts these sentences, which begin at ``heads``."""
+    windows = arrays.gather(heads, np.maximum(long - params.window, 0))
+    if not len(windows):
+        return windows
+    pairs = np.lib.stride_tricks.sliding_window_view(arrays.grams(hashes, 2), params.window)[windows]
+    least = pairs.argmin(1)
+    times = (pairs == pairs[np.arange(len(pairs)), least][:, None]).sum(1)
+    return (windows + least)[times != 2]
 
 
 def spans(
@@ -37,17 +91,21 @@ def spans(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
     """Per text: the span hashes, the first sentence of each and the one after its last, where
     sentences begin (in bytes of the text; the first at 0), and the text's length. A-Z are lower-cased, blanks don't matter."""
-    starts, ends, before = arrays.words(data, at)
+    starts, ends, before, stop = _words(data, at)
     hashes = arrays.hash_spans(arrays.LOWER[data], starts, ends)
     n = len(starts)
     first = np.zeros(n + 1, dtype=bool)  # whether a word begins a sentence
     if n:
-        first[1:] = np.isin(data[ends - 1], np.frombuffer(b".!?", dtype=np.uint8))
+        first[1:] = stop
         newlines = np.cumsum(np.append(0, data == 10))
         first[1:n] |= newlines[starts[1:]] > newlines[ends[:-1]]
     first[before] = True
     heads = np.flatnonzero(first[:n])
     long = np.diff(np.append(heads, n))
+    over = long > params.max_words
+    first[_cuts(hashes, heads[over], long[over], params)] = True
+    heads = np.flatnonzero(first[:n])
+    long = np.diff(np.append(heads, n))
     cut = arrays.gather(np.zeros(len(heads), dtype=np.int64), -(-long // params.max_words))
     heads = np.repeat(heads, -(-long // params.max_words)) + params.max_words * cut
     bounds = np.append(heads, n)

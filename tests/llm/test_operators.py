@@ -159,6 +159,36 @@ def test_spans(spark, table):
          [(i, *e) for (i, _), e in zip(known, expected, strict=True)])
 
 
+@pytest.mark.parametrize("blank", [" ", ""])
+def test_spans_of_shifted_passages(spark, blank):
+    """Text without sentence marks; without blanks, its words are single characters."""
+    rng = random.Random(8)
+    vocabulary = [chr(0x4E00 + k) for k in range(2000)] if not blank else [f"w{k}" for k in range(2000)]
+    passage = rng.choices(vocabulary, k=50)
+    before = [rng.choices(vocabulary, k=k) for k in range(20)]
+    texts = [blank.join([*b, *passage, *rng.choices(vocabulary, k=30)]) for b in before]
+    edited = [*passage[:25], "new", *passage[26:]] * 2  # an edit in one long sentence
+    texts += [blank.join(edited), blank.join([*edited[:70], "newer", *edited[71:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in span_dedup.drop_repeated_spans(docs).collect()}
+    assert found[0]["n_removed"] == 0 and found[0]["text"] == texts[0]
+    for i in range(1, len(texts)):
+        words = found[i]["text"].split(" ") if blank else found[i]["text"]
+        whole = texts[i].split(" ") if blank else texts[i]
+        assert len(whole) - len(words) >= 20, i
+        assert 0 in found[i]["first_ids"]
+
+
+def test_marks_of_scripts_without_blanks():
+    data = "今日は晴れ。明日は雨！a b。c.d กำ".encode()
+    _, _, _, begin, _ = next(span_dedup.spans(
+        np.frombuffer(data, np.uint8), np.array([0, len(data)]), span_dedup.Params()
+    ))
+    bounds = [*begin.tolist(), len(data)]
+    pieces = [data[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert pieces == ["今日は晴れ。", "明日は雨！", "a b。", "c.d กำ"]
+
+
 def test_fingerprints_against_edits(docs, table):
     found = fingerprints.against_edits(docs).collect()
     assert len(found) == len(table)
