@@ -208,6 +208,29 @@ def test_fingerprints_against_edits(docs, table):
     assert all(0 <= r[c] <= 1 for r in found for c in ("near_edited", "near_next"))
 
 
+def test_fingerprints_of_short_texts(spark):
+    bits = np.full((1 << 22) // 64, -1, dtype=np.int64)  # every term is in the band
+    for n in (1, 2, 3, 5, 12):
+        texts = [" ".join(f"t{n}x{i}x{k}" for k in range(n)) for i in range(300)]
+        found = fingerprints.prints(pa.array(texts), bits, fingerprints.Params())
+        assert len(set(fingerprints.hexed(found))) == len(texts)
+        assert found.any(1).all()
+        assert fingerprints.likeness(found[1:], found[:-1]).max() == 0
+    docs = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(200)], "doc_id long, text string")
+    rows = fingerprints.against_edits(docs).collect()
+    assert len({r["fingerprint"] for r in rows}) == 200
+    assert all(r["near_next"] == 0 for r in rows)
+
+
+def test_all_terms_are_hashed_where_no_sub_lexicon_holds_one():
+    bits = np.full((1 << 22) // 64, -1, dtype=np.int64)
+    sparse = fingerprints.Params(dense=())
+    texts = [f"u{i}" for i in range(300)]
+    found = fingerprints.prints(pa.array(texts), bits, sparse)
+    assert (found[:, :-2].any(1) != found[:, -2:].any(1)).all()
+    assert len(set(fingerprints.hexed(found))) == len(texts)
+
+
 @pytest.mark.parametrize("limit", [1, 1_000_000])
 def test_language_keeps_every_row(spark, monkeypatch, limit):
     monkeypatch.setattr(language_id, "BATCH_WORDS", limit)
