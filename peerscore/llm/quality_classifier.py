@@ -123,17 +123,29 @@ def sample_labels(
     return rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
 
 
+def sampled_texts(
+    docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(id, label, order, text): one row for each of the sample's that has a document.
+
+    Of several rows of one id it is that with the smallest hash; tasks pass on one row an id.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(
+        F.broadcast(sample), "id"
+    )
+    least = F.min(F.struct(F.xxhash64("id", "text").alias("order"), "text")).alias("least")
+    return rows.groupBy("id", "label").agg(least).select("id", "label", "least.order", "least.text")
+
+
 def fit(
     docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text: str = "text",
     params: Params = Params(),
 ) -> tuple[np.ndarray, float]:
     """Weights and bias learnt by one task from the texts of a bounded sample (id, label).
 
-    Several labels of one id are separate rows. Without rows, all weights are 0.
+    Several labels of one id are separate rows; of several documents of one id, one counts. Without
+    rows, all weights are 0.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(
-        F.broadcast(sample), "id"
-    )
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("order", "ascending"), ("label", "ascending")])
@@ -145,7 +157,7 @@ def fit(
         })
 
     model = (
-        rows.withColumn("order", F.xxhash64("id", "text"))
+        sampled_texts(docs, sample, id_col, text)
         .groupBy(F.lit(0).alias("one")).applyInArrow(run, "weights binary, bias double").collect()
     )
     if not model:

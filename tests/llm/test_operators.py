@@ -313,6 +313,22 @@ def test_classifier_tells_labels_apart(spark):
     assert scores[None] == scores[900]
 
 
+def test_classifier_fits_on_one_row_of_a_repeated_id(spark):
+    rows = [(i, f"the cat {i} runs" if i % 2 else f"%% {i} $$") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(3, 0)], "doc_id long, quality int")
+    schema = "doc_id long, text string"
+    sample = quality_classifier.sample_labels(labels)
+    once, again = (
+        spark.createDataFrame(r, schema).repartition(4) for r in (rows, rows + [rows[3]] * 2000)
+    )
+    expected, found = (quality_classifier.fit(d, sample) for d in (once, again))
+    assert (expected[0] == found[0]).all() and expected[1] == found[1]
+    mixed = spark.createDataFrame(rows + [(3, f"other {k}") for k in range(2000)], schema).repartition(4)
+    texts = quality_classifier.sampled_texts(mixed, sample)
+    assert texts.count() == sample.count()
+    assert len({r["text"] for r in texts.filter("id = 3").collect()}) == 1
+
+
 def test_warc(spark):
     rows = [(5, "u\r\nx", "same"), (2, None, "same"), (9, "u", "é\r\n\r\nWARC/1.1"), (None, "u", "same"),
             (7, "u", None), (3, "u", ""), (1, "u", "p" * 3_000_000), (2, None, "same")]
