@@ -18,11 +18,13 @@ from peerscore.llm import (
     quality_rules,
     sentencepiece,
     span_dedup,
+    token_alignment,
     warc,
 )
 from peerscore.llm.frames import in_fold
 
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_LEVEL = os.environ.get("BYTE_LEVEL_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 #: A document's score from which it counts as good.
 GOOD = 0.7
 
@@ -111,10 +113,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tokenizations of every text, cut where both have a token's end."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.scored(docs, BYTE_LEVEL, PIECES, keep=["doc_id"]).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links",
+        "n_best", "count_sum", "groups_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_quality_classifier, op4_mixing,
         op5_line_dedup, op6_document_fingerprints, op7_substring_dedup, op8_language_id,
-        op9_sentencepiece, op10_warc,
+        op9_sentencepiece, op10_warc, op13_token_alignment,
     )
 }
