@@ -12,6 +12,7 @@ from peerscore.llm import (
     fingerprints,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     ngram_join,
     quality_classifier,
@@ -113,6 +114,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, folded from its leaf, or from a tampered one."""
+    docs = _table(spark, sf_dir, "documents")
+    before, after = ["doc_id", "source", "lang"], F.try_add("n_chars", F.lit(1))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    leaf = merkle.digest_of(*map(F.col, [*before, "n_chars", "text"]))
+    changed = F.when(tampered, merkle.digest_of(*map(F.col, before), after, F.col("text")))
+    manifest = merkle.build(
+        docs.withColumn("changed", changed), leaf, F.col("lang"), F.col("doc_id"), ["doc_id", "changed"]
+    )
+    folded = merkle.folded(F.coalesce("changed", "leaf"), F.col("path"))
+    return (
+        manifest.proofs()
+        .withColumn("folded_root", folded)
+        .select(
+            "doc_id", "leaf", "subroot", "root",
+            F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+            "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+        )
+    )
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tokenizations of every text, cut where both have a token's end."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -126,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_quality_classifier, op4_mixing,
         op5_line_dedup, op6_document_fingerprints, op7_substring_dedup, op8_language_id,
-        op9_sentencepiece, op10_warc, op13_token_alignment,
+        op9_sentencepiece, op10_warc, op12_merkle_manifest,
+        op13_token_alignment,
     )
 }
