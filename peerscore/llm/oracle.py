@@ -144,3 +144,104 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM rows JOIN firsts USING (hex)
 """,
 }
+
+# The tree of each language, the tree over their roots, and every leaf's path through both.
+_CRC_STEP = "list_reduce(list_concat([xor(c, b)], range(8)), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))"
+_CRC = f"""xor(list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: {_CRC_STEP}
+    ), 4294967295)"""
+
+
+def _spelled(column: str) -> str:
+    text = f"({column})::VARCHAR"
+    return f"coalesce(concat(strlen({text}), ':') || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_spelled, ["doc_id", "source", "lang", n_chars, "text"])) + ")"
+
+
+ORACLE["op12_merkle_manifest"] = f"""WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+        CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS given
+    FROM documents
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM leaves
+), nodes AS (
+    SELECT 0 AS lvl, lang, idx, leaf AS digest, n FROM ranked
+    UNION ALL
+    SELECT lvl + 1, lang, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 1) // 2)
+    FROM nodes WHERE n > 1 GROUP BY lvl, lang, idx // 2
+), subroots AS (
+    SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx,
+        count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS lvl, idx, subroot AS digest, n FROM subroots
+    UNION ALL
+    SELECT lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 1) // 2)
+    FROM tops WHERE n > 1 GROUP BY lvl, idx // 2
+), steps AS (
+    SELECT r.lang, r.idx, 0 AS tree, t.lvl, (r.idx >> t.lvl) & 1 AS digit, s.digest AS sibling
+    FROM ranked r
+    JOIN (SELECT DISTINCT lang, lvl FROM nodes WHERE n > 1) t ON t.lang IS NOT DISTINCT FROM r.lang
+    LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM r.lang AND s.lvl = t.lvl
+        AND s.idx = xor(r.idx >> t.lvl, 1)
+    UNION ALL
+    SELECT r.lang, r.idx, 1, t.lvl, (g.idx >> t.lvl) & 1, s.digest
+    FROM ranked r JOIN subroots g ON g.lang IS NOT DISTINCT FROM r.lang
+    CROSS JOIN (SELECT DISTINCT lvl FROM tops WHERE n > 1) t
+    LEFT JOIN tops s ON s.lvl = t.lvl AND s.idx = xor(g.idx >> t.lvl, 1)
+), path AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, idx ORDER BY tree, lvl) AS step FROM steps
+), proofs AS (
+    SELECT lang, idx, max(step) AS steps, sha256(string_agg(coalesce(sibling, ''), '' ORDER BY step)) AS proof_sha256
+    FROM path GROUP BY lang, idx
+), fold AS (
+    SELECT lang, idx, 0 AS step, given AS digest FROM ranked
+    UNION ALL
+    SELECT f.lang, f.idx, f.step + 1, sha256(CASE WHEN digit = 0 THEN digest || coalesce(sibling, '')
+        ELSE coalesce(sibling, '') || digest END)
+    FROM fold f JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.idx = f.idx AND p.step = f.step + 1
+)
+SELECT r.doc_id, r.leaf, g.subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+    f.digest AS folded_root, f.digest = t.digest AS verified
+FROM ranked r
+JOIN subroots g ON g.lang IS NOT DISTINCT FROM r.lang
+CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM r.lang AND p.idx = r.idx
+JOIN fold f ON f.lang IS NOT DISTINCT FROM r.lang AND f.idx = r.idx AND f.step = coalesce(p.steps, 0)
+"""
+
+
+_ITEM_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op11_decontamination"] = f"""WITH items AS (
+    SELECT item_id, {_ITEM_WORDS.format(text=LOWER.format(text="text"))} AS words FROM benchmark
+), sized AS (
+    SELECT *, least(len(words), 10) AS w FROM items WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, w, array_to_string(words[i + 1 : i + w], ' ') AS win
+    FROM sized, range(len(words)) t(i) WHERE i + w <= len(words)
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        {_ITEM_WORDS.format(text=LOWER.format(text="text"))} AS words FROM documents
+), places AS (
+    SELECT r, i, w, array_to_string(words[i + 1 : i + w], ' ') AS win
+    FROM docs, range(len(words)) t(i), (SELECT DISTINCT w FROM windows) WHERE i + w <= len(words)
+), found AS (
+    SELECT DISTINCT r, i, w, item_id FROM places JOIN windows USING (w, win)
+), hit AS (
+    SELECT r, count(DISTINCT i + k) AS n_hit FROM found, range(10) t(k) WHERE k < w GROUP BY r
+), listed AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""

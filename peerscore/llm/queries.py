@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.llm import (
+    decontamination,
     fingerprints,
     language_id,
     line_dedup,
@@ -114,6 +115,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in a window of a benchmark item, and those items."""
+    found = decontamination.contamination(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, folded from its leaf, or from a tampered one."""
     docs = _table(spark, sf_dir, "documents")
@@ -149,7 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_quality_classifier, op4_mixing,
         op5_line_dedup, op6_document_fingerprints, op7_substring_dedup, op8_language_id,
-        op9_sentencepiece, op10_warc, op12_merkle_manifest,
-        op13_token_alignment,
+        op9_sentencepiece, op10_warc,
+        op11_decontamination, op12_merkle_manifest, op13_token_alignment,
     )
 }
