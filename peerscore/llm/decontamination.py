@@ -126,10 +126,11 @@ class SuffixArray:
 
     def _edge(self, low: np.ndarray, high: np.ndarray, skip: int, word: np.ndarray) -> np.ndarray:
         """In each interval, the first suffix whose word after ``skip`` others is not below ``word``."""
-        low, high = low.copy(), high.copy()
+        low, high, last = low.copy(), high.copy(), len(self.ids) - 1
         while (open_ := low < high).any():
             middle = (low + high) // 2
-            below = self.ids[self.suffixes[np.minimum(middle, len(self.ids) - 1)] + skip] < word
+            place = self.suffixes[np.minimum(middle, last)] + skip
+            below = self.ids[np.minimum(place, last)] < word
             low = np.where(open_ & below, middle + 1, low)
             high = np.where(open_ & ~below, middle, high)
         return low
@@ -246,7 +247,7 @@ def _hits(
         _, _, _, low, high = index.search(block.words, block.begin, block.begin + block.window, block.window)
         found = np.flatnonzero(low < high)
         # Suffixes with the same window have the same interval; its places are read once.
-        intervals = np.stack([low[found], high[found]], axis=1)
+        intervals = np.stack([low[found], high[found], block.window[found]], axis=1)
         distinct, which = np.unique(intervals, axis=0, return_inverse=True)
         if not len(distinct):
             continue

@@ -31,7 +31,6 @@ from peerscore.session import Groups, settle_groups, stage
 ARITY = 2
 #: Levels per segment: a segment has at most ARITY ** LEVELS nodes at its foot.
 LEVELS = 10
-WIDTH = ARITY**LEVELS
 
 _RECORDS = "array<struct<digest:string,children:array<string>>>"
 
@@ -63,26 +62,25 @@ def siblings(path: Column) -> Column:
     return F.translate(F.array_join(F.reverse(path), ""), ":", "")
 
 
-def _fold(nodes: list[str], n: int) -> tuple[str, list[tuple[str, list[str]]]]:
+def _fold(nodes: list[str], n: int, levels: int) -> tuple[str, list[tuple[str, list[str]]]]:
     """The digest of a segment's foot, and its records. ``n`` nodes are on that level in all."""
     records = []
-    for _ in range(LEVELS):
-        if n <= 1:
-            break
+    for _ in range(_height(n, levels)):
         above = []
         for i in range(0, len(nodes), ARITY):
             run = nodes[i : i + ARITY]
             above.append(sha256("".join(run).encode()).hexdigest())
             records.append((above[-1], run))
-        nodes, n = above, -(-n // ARITY)
+        nodes = above
     return nodes[0], records
 
 
-def _height(n: int) -> int:
-    levels = 0
-    while n > 1 and levels < LEVELS:
-        n, levels = -(-n // ARITY), levels + 1
-    return levels
+def _height(n: int, levels: int) -> int:
+    """Levels of a segment that n nodes of its group have at their foot."""
+    height = 0
+    while n > 1 and height < levels:
+        n, height = -(-n // ARITY), height + 1
+    return height
 
 
 def _by_segment(rows: DataFrame, *then: str) -> DataFrame:
@@ -131,20 +129,20 @@ def _ranked(rows: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _segments(nodes: DataFrame) -> DataFrame:
-    """One stored row per WIDTH consecutive nodes (__group, __rank, __digest, __n) of a group."""
-    block = F.expr(f"__rank div {WIDTH}").alias("__block")
+def _segments(nodes: DataFrame, levels: int) -> DataFrame:
+    """One stored row per segment of the nodes (__group, __rank, __digest, __n) of a group."""
+    block = F.expr(f"__rank div {ARITY**levels}").alias("__block")
     dealt = _by_segment(nodes.select("__group", block, "__rank", "__digest", "__n"), "__rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, foot, size = None, [], 0
 
         def made() -> list[dict]:
-            digest, records = _fold(foot, size)
+            digest, records = _fold(foot, size, levels)
             return [{
                 "__group": key[0], "__block": key[1], "__digest": digest,
                 "__records": [{"digest": d, "children": c} for d, c in records],
-                "__width": size, "__n": -(-size // ARITY ** _height(size)),
+                "__width": size, "__n": -(-size // ARITY ** _height(size, levels)),
             }]
 
         for batch in batches:
@@ -172,15 +170,16 @@ class Tree:
     """The segments of all groups, those of the leaves first."""
 
     segments: list[DataFrame]
+    levels: int
 
     @classmethod
-    def build(cls, nodes: DataFrame) -> Tree:
-        segments = [_segments(nodes)]
+    def build(cls, nodes: DataFrame, levels: int) -> Tree:
+        segments = [_segments(nodes, levels)]
         while True:
             above = segments[-1].filter("__n > 1")
             if above.isEmpty():
-                return cls(segments)
-            segments.append(_segments(above.withColumnRenamed("__block", "__rank")))
+                return cls(segments, levels)
+            segments.append(_segments(above.withColumnRenamed("__block", "__rank"), levels))
 
     def tops(self) -> DataFrame:
         """(__group, __digest): the last node of every group."""
@@ -213,18 +212,18 @@ class Tree:
             opened = entered.join(segment, ["__group", "__block", "__digest"])
             asked = requests
             if k:
-                place = F.expr(f"__rank div {WIDTH**k}").alias("__rank")
+                place = F.expr(f"__rank div {ARITY ** (k * self.levels)}").alias("__rank")
                 asked = requests.select("__group", place).distinct()
             found = self._walk(opened, asked)
             if k:
                 found = stage(found, "descent")
         return found
 
-    @staticmethod
-    def _walk(opened: DataFrame, asked: DataFrame) -> DataFrame:
+    def _walk(self, opened: DataFrame, asked: DataFrame) -> DataFrame:
         """One segment further: opened segments and the requests for their feet, streamed together."""
-        inside = asked.withColumn("__block", F.expr(f"__rank div {WIDTH}"))
-        kept = [f for f in inside.schema if f.name not in ("__block",)]
+        all_levels, width = self.levels, ARITY**self.levels
+        inside = asked.withColumn("__block", F.expr(f"__rank div {width}"))
+        kept = asked.schema.fields
         dealt = _by_segment(
             opened.unionByName(inside, allowMissingColumns=True), F.col("__digest").asc_nulls_last(), "__rank"
         )
@@ -241,9 +240,9 @@ class Tree:
                         row = batch.slice(i, 1).to_pylist()[0]
                         children = {r["digest"]: r["children"] for r in row["__records"]}
                         start, top, path = row["__digest"], row["__top"], row["__path"]
-                        block, height = row["__block"], _height(row["__width"])
+                        block, height = row["__block"], _height(row["__width"], all_levels)
                         continue
-                    place = ranks[i] - block * WIDTH
+                    place = ranks[i] - block * width
                     node, levels = start, list(path)
                     for step in reversed(range(height)):
                         run_of = children[node]
@@ -310,7 +309,9 @@ class Manifest:
         )
 
 
-def build(rows: DataFrame, leaf: Column, group: Column, order: Column, keep: list[str]) -> Manifest:
+def build(
+    rows: DataFrame, leaf: Column, group: Column, order: Column, keep: list[str], levels: int = LEVELS
+) -> Manifest:
     """The manifest of a table: ``leaf`` is each row's digest, ``group`` and ``order`` its place.
 
     Groups go by their text, bytewise, and null is the first; within a group rows go by ``order``,
@@ -324,13 +325,13 @@ def build(rows: DataFrame, leaf: Column, group: Column, order: Column, keep: lis
     ), "leaves")
     ranked = _ranked(staged, "__order", "__digest", "__tie").drop("__order", "__tie")
     if staged.isEmpty():
-        return Manifest(None, ranked, Tree([]), ranked, None)
-    tree = Tree.build(ranked)
+        return Manifest(None, ranked, Tree([], levels), ranked, None)
+    tree = Tree.build(ranked, levels)
     subroots = stage(
         tree.tops().select(F.lit("").alias("__group"), F.col("__group").alias("__of"), "__digest"),
         "subroots",
     )
     groups = _ranked(subroots, "__of")
-    group_tree = Tree.build(groups)
+    group_tree = Tree.build(groups, levels)
     root = group_tree.tops().first()["__digest"]
     return Manifest(root, ranked, tree, groups, group_tree)
