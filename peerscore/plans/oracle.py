@@ -107,6 +107,8 @@ ORACLE["bronze_roundtrip"] = _with(RAW, """SELECT place_id AS id, address AS "fo
     array_to_string(types, '|') AS types FROM raw""")
 ORACLE["bronze_arrays"] = _with(RAW, """SELECT place_id AS id, address AS "formattedAddress",
     rating, array_to_string(types, '|') AS types, false AS corrupt FROM raw""")
+ORACLE["bronze_large_arrays"] = _with(RAW, """SELECT place_id AS id, address AS "formattedAddress",
+    rating, name, array_to_string(types, '|') AS types, false AS corrupt FROM raw""")
 ORACLE["bronze_snapshot"] =_with(RAW, """
 SELECT '2026-08-20' AS snapshot, count(*) AS places, count(rating) AS rated
 FROM raw WHERE rating IS NOT NULL

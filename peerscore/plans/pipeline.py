@@ -16,6 +16,7 @@ from peerscore.operators.quality import gold_checks, require, silver_checks
 from peerscore.operators.scoring import score_places
 from peerscore.operators.silver import RULES, clean, first_version
 from peerscore.session import scratch_path, scratch_scope
+from peerscore.sources.arrays import read_arrays
 from peerscore.sources.bronze import checked_date, read_bronze
 from peerscore.sources.catalog import ensure_database, publish_all
 from peerscore.sources.versions import VersionedTable
@@ -103,8 +104,9 @@ def _silver(spark: SparkSession, cfg: PipelineConfig) -> VersionedTable:
 def build_silver(spark: SparkSession, cfg: PipelineConfig) -> PipelineReport:
     """Clean the snapshot and merge it; the new version is visible once it has passed its gate."""
     silver = _silver(spark, cfg)
-    bronze = read_bronze(spark, cfg.bronze_path, cfg.multi_line)
     with scratch_scope(spark):
+        read = read_arrays if cfg.multi_line else read_bronze
+        bronze = read(spark, cfg.bronze_path)
         batch, counts = write_batch(bronze, cfg.run_date, scratch_path(spark, "batch"))
         places = _store(silver.stage, silver.open, next_silver(silver, batch, cfg.policy))
     require("silver", silver_checks(places.rows))

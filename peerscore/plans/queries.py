@@ -21,7 +21,7 @@ from peerscore.plans.pipeline import (
 )
 from peerscore.plans.tables import RUN_DATE, batches, raw_places, silver_places, silver_rows
 from peerscore.session import scratch_path, stage
-from peerscore.sources import bronze, catalog
+from peerscore.sources import arrays, bronze, catalog
 from peerscore.sources.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,19 @@ def bronze_arrays(spark, sf_dir):
     )
 
 
+@query
+def bronze_large_arrays(spark, sf_dir):
+    """The snapshot as arrays of at most 50,000 places, each read and cut by many tasks."""
+    path = scratch_path(spark, "bronze")
+    number = F.expr("CAST(substring(id, 7) AS BIGINT) DIV 50000")
+    bronze.write_arrays(raw_places(spark, sf_dir), path, number)
+    return arrays.read_arrays(spark, path, per_range=1 << 12).select(
+        "id", "formattedAddress", F.col("rating").try_cast("double").alias("rating"),
+        F.col("displayName.text").alias("name"), joined("types"),
+        F.col(bronze.CORRUPT).isNotNull().alias("corrupt"),
+    )
+
+
 @query
 def bronze_snapshot(spark, sf_dir):
     root = scratch_path(spark, "lake")
