@@ -44,6 +44,11 @@ def scale_medians(
     widest = counted.groupBy(*groups).count().agg(F.max("count").alias("widest")).first()["widest"]
     if (widest or 0) > most_values:
         return exact_medians(df, groups, measure)
+    return medians_of_counts(counted, groups)
+
+
+def medians_of_counts(counted: DataFrame, groups: list[str]) -> DataFrame:
+    """Group size and median from one row per group and value (_v), with its count (_n)."""
     valued = counted.withColumn("_m", F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0))
     total = F.sum("_m").over(W.partitionBy(*groups))
     ranked = valued.select(

@@ -67,10 +67,18 @@ def score_places(
     candidates are joined, and only those of districts that are not hot are shuffled. A place whose
     review count is NULL, or a candidate whose district is NULL, is in neither result.
     """
-    stats, _ = settle_groups(
-        district_stats(silver, min_reviews, method), ["khet"], "khet_candidate_count"
-    )
-    places = add_category(silver)
+    stats = district_stats(silver, min_reviews, method)
+    return score_with(add_category(silver), stats, min_reviews, min_places)
+
+
+def score_with(
+    places: DataFrame,
+    stats_rows: DataFrame,
+    min_reviews: int = MIN_REVIEWS,
+    min_places: int = MIN_PLACES,
+) -> tuple[DataFrame, DataFrame]:
+    """(scored, unqualified) of places with a category, by the statistics of their districts."""
+    stats, _ = settle_groups(stats_rows, ["khet"], "khet_candidate_count")
     candidate = F.col("user_rating_count") >= min_reviews
     trusted = F.col("khet_candidate_count") >= min_places
 

@@ -276,6 +276,26 @@ ORACLE["silver_merge"] = _latest(2)
 ORACLE["silver_merge_shuffled"] = ORACLE["silver_merge"]
 ORACLE["silver_table"] = _latest(3)
 ORACLE["silver_table_bucketed"] = ORACLE["silver_table"]
+ORACLE["silver_parts"] = ORACLE["silver_table"]
+
+LATEST = _batches(3) + f""", latest AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY run DESC) AS nth FROM every
+    ) WHERE nth = 1
+), described AS (
+    SELECT {PLACE_ID} AS place_id, p_name AS name, string_split({TYPE_NAMES}, ' ') AS types,
+        {LATITUDE} AS latitude, {LONGITUDE} AS longitude, concat_ws(' ', p_brand, p_type) AS khet
+    FROM part
+), silver AS (
+    SELECT d.*, {CATEGORY} AS category, rating, user_rating_count, CAST(NULL AS INTEGER) AS price_level,
+        'Bangkok' AS province
+    FROM latest JOIN described d USING (place_id)
+)""" + _gold()
+
+ORACLE["upkeep_counts"] = _with(LATEST, """SELECT khet, rating, count(*) AS places
+FROM silver WHERE user_rating_count >= 5 GROUP BY khet, rating""")
+ORACLE["upkeep_scored"] = _with(LATEST, "SELECT * FROM scored")
+ORACLE["upkeep_unqualified"] = _with(LATEST, "SELECT * FROM unqualified")
 
 
 # -- gold ------------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from peerscore.plans.pipeline import (
     run_pipeline,
 )
 from peerscore.plans.tables import RUN_DATE, batches, raw_places, silver_places, silver_rows
+from peerscore.plans.upkeep import apply_batch, places_store
 from peerscore.session import scratch_path, stage
 from peerscore.sources import arrays, bronze, catalog
 from peerscore.sources.versions import VersionedTable
@@ -76,11 +77,11 @@ def bronze_arrays(spark, sf_dir):
 
 @query
 def bronze_large_arrays(spark, sf_dir):
-    """The snapshot as arrays of at most 50,000 places, each read and cut by many tasks."""
+    """The snapshot as arrays of at most 5,000 places, each cut into records by several tasks."""
     path = scratch_path(spark, "bronze")
-    number = F.expr("CAST(substring(id, 7) AS BIGINT) DIV 50000")
+    number = F.expr("CAST(substring(id, 7) AS BIGINT) DIV 5000")
     bronze.write_arrays(raw_places(spark, sf_dir), path, number)
-    return arrays.read_arrays(spark, path, per_range=1 << 12).select(
+    return arrays.read_arrays(spark, path, per_range=1 << 11).select(
         "id", "formattedAddress", F.col("rating").try_cast("double").alias("rating"),
         F.col("displayName.text").alias("name"), joined("types"),
         F.col(bronze.CORRUPT).isNotNull().alias("corrupt"),
@@ -303,8 +304,36 @@ def silver_table_bucketed(spark, sf_dir):
     return _merged(table.read())
 
 
+def _kept_up(spark, sf_dir):
+    """A store after three batches, each of which rewrote only the parts that it touched."""
+    store = places_store(spark, scratch_path(spark, "parts"), parts=16)
+    for batch in batches(spark, sf_dir, 3):
+        apply_batch(store, batch, gates=False)
+    return store
+
+
+@query
+def silver_parts(spark, sf_dir):
+    return _merged(_kept_up(spark, sf_dir).read("silver"))
+
+
 # -- gold ------------------------------------------------------------------------------------
 
+@query
+def upkeep_counts(spark, sf_dir):
+    return _kept_up(spark, sf_dir).read("state")
+
+
+@query
+def upkeep_scored(spark, sf_dir):
+    return _kept_up(spark, sf_dir).read(SCORED)
+
+
+@query
+def upkeep_unqualified(spark, sf_dir):
+    return _kept_up(spark, sf_dir).read(UNQUALIFIED)
+
+
 @query
 def category(spark, sf_dir):
     return scoring.add_category(silver_rows(spark, sf_dir)).select("place_id", "category")

@@ -30,3 +30,13 @@ def mark(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = _open(spark, path)
     fs.delete(where, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one go; an existing one is replaced."""
+    fs, where = _open(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
