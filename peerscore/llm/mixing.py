@@ -100,37 +100,33 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return found.select("key", "prefix", half.alias("take"))
 
 
-def settle_join(rows: DataFrame, by_key: DataFrame) -> DataFrame:
-    """Join rows to a table with one row per key; a hot key's rows stay where they are."""
+def settle_join(rows: DataFrame, by_key: DataFrame, onto: DataFrame | None = None) -> DataFrame:
+    """Join rows, or others with the same keys, to a table with one row per key; a hot key's rows
+    stay where they are, and all of them do where the table is small."""
     counts = rows.groupBy("key").agg(F.count("*").alias("key_rows"))
     groups, _ = settle_groups(by_key.join(counts, "key"), ["key"], "key_rows")
-    return groups.join(rows).drop("key_rows")
+    return groups.join(rows if onto is None else onto).drop("key_rows")
 
 
-def mixed(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
-    share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = (3.0, 1.0, 2.0),
-) -> DataFrame:
-    """(id, hash, source, size, source_size, target, copies) of every row.
+def _key(source: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
 
-    ``copies`` is how often the mix takes the row: as many whole times as the target of its source
-    holds the source, and once more if the row's hash is below the threshold of what is left. So
-    the copies of a row differ by one at most within a source, none is above ``most`` rounded up,
-    and the taken words of a source are within half the size of one row of its target.
 
-    * Null or wordless text: size 0. Null source: a source of its own, the last one.
-    * The hash is of id and text: reruns agree, and the order of rows has no part. Rows equal in
-      both are taken together. Null ids are ids like others.
-    * A source of size 0 has target 0. An empty table gives an empty table.
-    """
-    digest = F.md5(F.concat_ws(
+def _digest(id_col: str, text: str) -> Column:
+    return F.md5(F.concat_ws(
         " ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))
     ))
-    key = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
+
+
+def _shares(
+    docs: DataFrame, id_col: str, text: str, source: str,
+    share: float, most: float, weights: tuple[float, ...],
+) -> tuple[DataFrame, DataFrame]:
+    """All rows without their texts, and per source (key, source_size, target, whole, prefix, take)."""
     rows = stage(
         docs.select(
-            F.col(id_col), F.col(source).alias("source"), key.alias("key"),
-            digest.alias("h"), n_words(text).alias("size"),
+            F.col(id_col), F.col(source).alias("source"), _key(source).alias("key"),
+            _digest(id_col, text).alias("h"), n_words(text).alias("size"),
         ), "sizes",
     )
     sizes = rows.groupBy("key").agg(
@@ -138,7 +134,7 @@ def mixed(
     )
     shares = stage(
         targets(sizes.select("source", "source_size"), share, most, list(weights))
-        .withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+        .withColumn("key", _key("source"))
         .withColumn("whole", F.coalesce(
             F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0)
         ))
@@ -146,12 +142,35 @@ def mixed(
         "targets",
     )
     ends = thresholds(rows, shares.select("key", "rest"))
-    known = settle_join(rows, shares.drop("source").join(ends, "key", "left"))
-    head = F.substring("h", 1, F.length("prefix"))
-    once_more = F.coalesce((head < F.col("prefix")) | ((head == F.col("prefix")) & F.col("take")), F.lit(False))
-    return known.select(
+    return rows, shares.drop("source", "rest").join(ends, "key", "left")
+
+
+def _copies(digest: Column) -> Column:
+    head = F.substring(digest, 1, F.length("prefix"))
+    below = (head < F.col("prefix")) | ((head == F.col("prefix")) & F.col("take"))
+    return F.col("whole") + F.coalesce(below, F.lit(False)).cast("long")
+
+
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+    share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = (3.0, 1.0, 2.0),
+) -> DataFrame:
+    """(id, hash, source, size, source_size, target, copies) of every row.
+
+    ``copies`` is how often the mix takes the row: as many whole times as the target of its source
+    holds the source, and once more if the row's hash is below the threshold of what is left. So
+    the copies of a row differ by one at most within a source, none is above ``most`` rounded up,
+    and the taken words of a source are within half the size of one row of its target.
+
+    * Null or wordless text: size 0. Null source: a source of its own, the last one.
+    * The hash is of id and text: reruns agree, and the order of rows has no part. Rows equal in
+      both are taken together. Null ids are ids like others.
+    * A source of size 0 has target 0. An empty table gives an empty table.
+    """
+    rows, shares = _shares(docs, id_col, text, source, share, most, weights)
+    return settle_join(rows, shares).select(
         id_col, F.col("h").alias("hash"), "source", "size", "source_size", "target",
-        (F.col("whole") + once_more.cast("long")).alias("copies"),
+        _copies(F.col("h")).alias("copies"),
     )
 
 
@@ -161,18 +180,17 @@ def mix(
 ) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns of ``docs``.
 
-    Rows without words have no part in any budget and stay once. See ``mixed``.
+    Rows without words have no part in any budget and stay once. See ``mixed``. The hash, the size
+    and the source are on the row, so rows are filtered and repeated where they are: the sources'
+    thresholds travel to them, not the texts.
     """
-    found = mixed(docs, id_col, text, source, share, most, weights)
-    taken = found.select(
-        F.col("hash").alias("__hash"), F.col("source").alias("__source"),
-        F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int").alias("__n"),
-    ).filter("__n > 0").distinct()
-    digest = F.md5(F.concat_ws(
-        " ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))
+    rows, shares = _shares(docs, id_col, text, source, share, most, weights)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), _key(source).alias("key"), *(
+        made.alias(name) for name, made in (("h", _digest(id_col, text)), ("size", n_words(text)))
     ))
-    keyed = docs.withColumn("__key", digest)
-    # rows equal in id and text may be of several sources, each with its own copies
-    same = (F.col("__key") == F.col("__hash")) & F.col(source).eqNullSafe(F.col("__source"))
-    joined = keyed.join(taken, same)
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    known = settle_join(rows, shares, onto=whole)
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(_copies(F.col("h"))).cast("int")
+    return (
+        known.withColumn("times", times).filter("times > 0")
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    )

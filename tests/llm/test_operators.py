@@ -136,6 +136,15 @@ def test_mix(docs, table):
     assert mixing.mix(docs).count() == copies
 
 
+def test_mix_moves_no_text(docs):
+    """What is shuffled to mix has hashes and sizes; documents stay where they are read."""
+    from tests.helpers import plan
+
+    text = plan(mixing.mix(docs))
+    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+    assert "Exchange rangepartitioning" not in text
+
+
 def test_mix_of_rows_equal_but_for_their_source(spark):
     rows = [(1, "x y", s) for s in ("a", "b", None)]
     rows += [(k, "w " * (k % 5), ("a", "b", None)[k % 3]) for k in range(2, 40)]
