@@ -43,7 +43,7 @@ def random_rows(rng, ids):
 @pytest.mark.parametrize("policy", ["batch_wins", NEWEST_WINS])
 def test_three_batches_equal_a_full_run(spark, tmp_path, policy):
     rng = random.Random(9)
-    store = run.places_store(spark, str(tmp_path / "store"), parts=8)
+    store = run.places_store(spark, str(tmp_path / "store"), parts=4)
     history = None
     for week, ids in enumerate([range(60), range(50, 75), range(3, 90, 9)]):
         rows = random_rows(rng, ids)
@@ -64,7 +64,7 @@ def test_three_batches_equal_a_full_run(spark, tmp_path, policy):
 def filled(spark, tmp_path_factory):
     """A store of 40 districts with six places each."""
     root = tmp_path_factory.mktemp("filled") / "store"
-    store = run.places_store(spark, str(root), parts=16)
+    store = run.places_store(spark, str(root), parts=8)
     rows = {f"{d}-{i}": {"khet": f"k{d}", "rating": 4.0 + i / 10} for d in range(40) for i in range(6)}
     run.apply_batch(store, batch(spark, 0, rows))
     return root
@@ -72,7 +72,7 @@ def filled(spark, tmp_path_factory):
 
 def copied(spark, filled, tmp_path):
     shutil.copytree(filled, tmp_path / "store")
-    return run.places_store(spark, str(tmp_path / "store"), parts=16)
+    return run.places_store(spark, str(tmp_path / "store"), parts=8)
 
 
 def test_untouched_parts_are_neither_read_nor_written(spark, filled, tmp_path):
@@ -130,7 +130,7 @@ def test_old_parts_go_once_nobody_reads_them(spark, filled, tmp_path):
 
 
 def test_the_number_of_parts_is_fixed(spark, filled):
-    with pytest.raises(ValueError, match="16 parts"):
+    with pytest.raises(ValueError, match="8 parts"):
         run.places_store(spark, str(filled), parts=4).read("silver")
 
 
