@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from peerscore.llm import arrays
 from peerscore.llm.components import components
 from peerscore.llm.frames import schema_with
-from peerscore.session import scratch_root, stage
+from peerscore.session import scratch_root, settle_groups, stage
 
 #: Hashed cells that hold the level (about 4 log2) of the most frequent shingle in them.
 CELLS, CHUNK = 1 << 24, 1 << 16
@@ -489,6 +489,12 @@ def _in_groups(
     return together(_dealt(left).join(texts, "node")).mapInArrow(link, "a long, b long")
 
 
+def _signatures(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, bits) of these sets; copies of a text are one row a task before any shuffle."""
+    each = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    return each.join(nodes, "node", "left_semi")
+
+
 def node_components(
     docs: DataFrame, rows: DataFrame, text: str = "text", words: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -498,10 +504,7 @@ def node_components(
     scratch_root(spark)
     order = spark.sparkContext.broadcast(frequent_shingles(docs, text, words))
     shared = stage(_shared(_prefixes(docs, text, words, percent, order), percent), "postings")
-    signs = stage(
-        rows.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node")
-        .agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "signatures",
-    )
+    signs = stage(_signatures(rows, shared.select("node").distinct()), "signatures")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         return stage(_texts(docs, text, words, nodes), "texts")
@@ -549,15 +552,23 @@ def near_duplicates(
     keyed = docs.select(F.col(id_col), F.col(text), F.xxhash64(text).alias("text_hash"))
     rows = stage(shingled(keyed, text, [id_col, "text_hash"], words), "sets")
     labels = node_components(docs, rows, text, words, percent)
+    # Neither a text nor a component with very many rows lands in one task.
+    copies = rows.groupBy("node").agg(F.count("*").alias("copies"))
+    nodes, _ = settle_groups(labels.join(copies, "node"), ["node"], "copies")
     of_row = F.when(F.col("n") > 0, F.coalesce("component", "node"))
-    known = rows.drop("bits").join(labels, "node", "left").withColumn("class", of_row)
+    known = stage(
+        nodes.join(rows.drop("bits"), "left").drop("copies").withColumn("class", of_row), "classes"
+    )
     row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")
-    least = known.filter("class IS NOT NULL").groupBy("class").agg(F.min(row).alias("least"))
+    least = known.filter("class IS NOT NULL").groupBy("class").agg(
+        F.min(row).alias("least"), F.count("*").alias("members")
+    )
+    classes, _ = settle_groups(least, ["class"], "members")
     empty = F.col("class").isNull()
     first = F.col(id_col).eqNullSafe(F.col("least.id")) & F.col("text_hash").eqNullSafe(
         F.col("least.text_hash")
     )
-    return known.join(least, "class", "left").select(
+    return classes.judge(known, ~empty).select(
         id_col, "text_hash", F.col("n").alias("n_shingles"),
         F.when(empty, F.col(id_col)).otherwise(F.col("least.id")).alias("component_id"),
         (empty | first).alias("representative"),

@@ -379,3 +379,29 @@ def test_empty_tables(empty):
     labels = empty.selectExpr("doc_id", "size AS quality")
     fitted = quality_classifier.fit(empty, quality_classifier.sample_labels(labels))
     assert quality_classifier.score(empty, fitted).count() == 0
+
+
+def _shuffled_rows(df):
+    """Rows written to each shuffle by the plan that has just run, without adaptive execution."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_copies_are_one_row_a_task_before_a_shuffle(spark):
+    """Half of the rows are one text; no exchange of signatures holds it more than once a task."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(0, 4000, 1, 4).selectExpr(
+        "IF(id % 2 = 0, -1, id) AS node", "1L AS n", "binary('bits') AS bits"
+    )
+    found = ngram_join._signatures(rows, spark.range(-1, 100).toDF("node"))
+    assert len(found.collect()) == 51
+    assert max(_shuffled_rows(found)) <= 2000 + 4
+    for k, v in kept.items():
+        spark.conf.set(k, v)
