@@ -208,6 +208,38 @@ SELECT i, j, returned, CASE WHEN returned = 0 THEN 'empty' ELSE 'crowded' END AS
 FROM per_tile WHERE returned = 0 OR returned > 15""")
 
 
+def _strip(value: str, low: str, high: str) -> str:
+    low, high = f"CAST({low} AS DOUBLE)", f"CAST({high} AS DOUBLE)"
+    return f"""least(CAST(floor(({value} - {low}) / ({high} - {low}) * CAST(4096 AS DOUBLE)) AS BIGINT), 4095)"""
+
+
+_BITS = "list_sum(list_transform(range(12), lambda i: (({y} >> i) & 1) * (2 << (2 * i)) + (({x} >> i) & 1) * (1 << (2 * i))))"
+# The box is split from the top: a cell with more than 15 places gives its four quarters.
+CELLS = "RECURSIVE " + LOCATED + f""", coded AS (
+    SELECT place_id, {_strip("latitude", "13.65", "13.85")} AS y,
+        {_strip("longitude", "100.45", "100.65")} AS x
+    FROM located
+    WHERE latitude BETWEEN 13.65::DOUBLE AND 13.85::DOUBLE
+        AND longitude BETWEEN 100.45::DOUBLE AND 100.65::DOUBLE
+), placed AS (
+    SELECT place_id, CAST({_BITS.format(x="x", y="y")} AS BIGINT) AS deepest FROM coded
+), cells AS (
+    SELECT 0 AS level, CAST(0 AS BIGINT) AS cell, count(*) AS members FROM placed
+    UNION ALL
+    SELECT level + 1, deepest >> (2 * (11 - level)), count(*)
+    FROM cells JOIN placed ON (deepest >> (2 * (12 - level))) = cell
+    WHERE members > 15 AND level < 12 GROUP BY ALL
+), leaves AS (SELECT * FROM cells WHERE members > 0 AND (members <= 15 OR level = 12))"""
+_EVEN = "list_sum(list_transform(range(12), lambda i: ((cell >> (2 * i + {odd})) & 1) * (1 << i)))"
+ORACLE["tile_leaves"] = _with(CELLS, f"""
+SELECT level, cell, members,
+    round(13.65::DOUBLE + (13.85::DOUBLE - 13.65::DOUBLE) * {_EVEN.format(odd=1)} / (1 << level), 9) AS south,
+    round(100.45::DOUBLE + (100.65::DOUBLE - 100.45::DOUBLE) * {_EVEN.format(odd=0)} / (1 << level), 9) AS west
+FROM leaves""")
+ORACLE["tile_leaf_members"] = _with(CELLS, """
+SELECT place_id, level, cell FROM placed JOIN leaves ON (deepest >> (2 * (12 - level))) = cell""")
+
+
 # -- silver ----------------------------------------------------------------------------------
 
 ORACLE["silver_flatten"] = _with(SILVER, f"""
@@ -421,3 +453,7 @@ LEFT JOIN tagged t ON t.outcome = r.rule GROUP BY r.rule
 UNION ALL SELECT 'dropped:neither_gold_table',
     (SELECT count(*) FROM silver) - (SELECT count(*) FROM scored)
     - (SELECT count(*) FROM unqualified)""")
+
+ORACLE["publish_reconciled"] = _with(GOLD, """
+SELECT 'scored_places' AS table_name, count(*) AS rows, true AS same_content FROM scored
+UNION ALL SELECT 'unqualified_places', count(*), true FROM unqualified""")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.functions import address_parts, district, has_thai, in_region, price_level, province
+from peerscore.operators import cells, quality, scoring, silver, tiles
 from peerscore.operators import merge as merging
-from peerscore.operators import quality, scoring, silver, tiles
 from peerscore.plans import tables
 from peerscore.plans.ingest import land_answers
 from peerscore.plans.pipeline import (
@@ -185,6 +185,22 @@ def sweep_gaps(spark, sf_dir):
     return tiles.sweep_gaps(spark, tiles.Grid(), members)
 
 
+@query
+def tile_leaves(spark, sf_dir):
+    """Cells that a search returns whole, instead of crowded tiles that it cuts."""
+    found = cells.leaves(tables.located_places(spark, sf_dir), tiles.Grid())
+    return cells.with_box(found, tiles.Grid()).select(
+        "level", "cell", "members", F.round("south", 9).alias("south"), F.round("west", 9).alias("west")
+    )
+
+
+@query
+def tile_leaf_members(spark, sf_dir):
+    places = tables.located_places(spark, sf_dir)
+    found = cells.leaves(places, tiles.Grid())
+    return cells.leaf_of_each(places, tiles.Grid(), found).select("place_id", "level", "cell")
+
+
 # -- silver ----------------------------------------------------------------------------------
 
 def _dated(df, *names):
@@ -483,6 +499,19 @@ def publish_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "table_name string, rows long")
 
 
+@query
+def publish_reconciled(spark, sf_dir):
+    """Published tables against what was scored, by content and not by number alone."""
+    catalog.ensure_database(spark, "peerscore_reconciled", scratch_path(spark, "peerscore_reconciled"))
+    sent = dict(zip((SCORED, UNQUALIFIED), _gold(spark, sf_dir), strict=True))
+    catalog.publish_all(sent, "peerscore_reconciled")
+    rows = []
+    for name, df in sent.items():
+        arrived = catalog.content(spark.table(f"peerscore_reconciled.{name}"))
+        rows.append((name, arrived["rows"], arrived == catalog.content(df)))
+    return spark.createDataFrame(rows, "table_name string, rows long, same_content boolean")
+
+
 def _run(spark, sf_dir):
     root = scratch_path(spark, "lake")
     path = bronze.land_snapshot(raw_places(spark, sf_dir), root, RUN_DATE)

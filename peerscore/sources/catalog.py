@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,15 +18,36 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    """Number of rows, and two sums over the rows' hashes that do not depend on their order.
+
+    Rows that are swapped for others change both; a row that is doubled while another is lost
+    leaves the number alone, two copies of a row cancel out in the xor, and not in the sum.
+    """
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    none = F.lit(0).cast("long")
+    return [
+        F.count("*").alias("rows"), F.coalesce(F.bit_xor(row), none).alias("xor"),
+        F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")).alias("sum"),
+    ]
+
+
+def content(df: DataFrame) -> dict:
+    """What a table holds, as three numbers, whatever the order of its rows."""
+    return df.agg(*_measures(df)).first().asDict()
+
+
 def _write(df: DataFrame, database: str, name: str) -> int:
-    """Write a new table, and compare what arrived with what was sent."""
+    """Write a new table, and compare what arrived with what was sent, by number and by content."""
     seen = Observation()
-    counted = df.observe(seen, F.count("*").alias("rows"))
+    counted = df.observe(seen, *_measures(df))
     counted.write.mode("errorifexists").format("parquet").saveAsTable(f"`{database}`.`{name}`")
-    sent, arrived = seen.get["rows"], df.sparkSession.table(f"`{database}`.`{name}`").count()
+    sent, arrived = seen.get, content(df.sparkSession.table(f"`{database}`.`{name}`"))
+    if arrived["rows"] != sent["rows"]:
+        raise RuntimeError(f"{database}.{name}: sent {sent['rows']} rows, read back {arrived['rows']}")
     if arrived != sent:
-        raise RuntimeError(f"{database}.{name}: sent {sent} rows, read back {arrived}")
-    return arrived
+        raise RuntimeError(f"{database}.{name}: {sent['rows']} rows arrived, but not the same ones")
+    return arrived["rows"]
 
 
 def _point(spark: SparkSession, database: str, table: str, version: str) -> None:

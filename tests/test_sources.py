@@ -3,7 +3,7 @@ import json
 import pytest
 
 from peerscore.schemas import CORRUPT
-from peerscore.sources import bronze, files
+from peerscore.sources import bronze, catalog, files
 from peerscore.sources.versions import VersionedTable
 from tests.helpers import PLACE, land, place
 
@@ -98,3 +98,32 @@ def test_unreadable_version_raises(spark, tmp_path):
         part.write_bytes(b"broken")
     with pytest.raises(Exception):  # noqa: B017
         VersionedTable(spark, str(tmp_path / "t")).read().count()
+
+
+def test_content_tells_what_counts_do_not(spark):
+    one = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0)], "id string, v double")
+    assert catalog.content(one) == catalog.content(one.orderBy("v").repartition(3))
+    doubled = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("c", 2.0)], one.schema)
+    swapped = spark.createDataFrame([("a", 2.0), ("b", None), ("c", 1.0)], one.schema)
+    twice = spark.createDataFrame([("x", 1.0), ("x", 1.0), ("y", 1.0), ("y", 1.0)], one.schema)
+    pairs = spark.createDataFrame([("x", 1.0), ("x", 1.0), ("z", 1.0), ("z", 1.0)], one.schema)
+    for other in (doubled, swapped):
+        assert catalog.content(other)["rows"] == 3 and catalog.content(other) != catalog.content(one)
+    assert catalog.content(twice)["xor"] == catalog.content(pairs)["xor"]
+    assert catalog.content(twice) != catalog.content(pairs)
+    assert catalog.content(one.limit(0)) == {"rows": 0, "xor": 0, "sum": 0}
+
+
+def test_rows_that_arrive_changed_are_not_published(spark, tmp_path, monkeypatch):
+    catalog.ensure_database(spark, "peerscore_content", str(tmp_path / "db"))
+    good = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "id string, v double")
+    assert catalog.publish_all({"t": good}, "peerscore_content") == {"t": 2}
+    bad = spark.createDataFrame([("a", 1.0), ("a", 1.0)], good.schema)
+    honest = catalog.content
+    monkeypatch.setattr(catalog, "content", lambda df: honest(bad))
+    with pytest.raises(RuntimeError, match="not the same"):
+        catalog.publish_all({"t": good}, "peerscore_content")
+    monkeypatch.undo()
+    assert catalog.content(spark.table("peerscore_content.t")) == catalog.content(good)
+    assert len(spark.catalog.listTables("peerscore_content")) == 2
+    spark.sql("DROP DATABASE peerscore_content CASCADE")
