@@ -310,6 +310,28 @@ ORACLE["silver_table"] = _latest(3)
 ORACLE["silver_table_bucketed"] = ORACLE["silver_table"]
 ORACLE["silver_parts"] = ORACLE["silver_table"]
 
+ORACLE["place_states"] = _with(_batches(3), f"""
+, named AS (
+    SELECT e.*, p_name AS name, {" ".join(f"CASE WHEN run = {k + 1} THEN '{d}' ELSE" for k, d in enumerate(BATCH_DATES[1:]))} NULL
+        {"END " * (len(BATCH_DATES) - 1)} AS next_date
+    FROM every e JOIN part ON place_id = {PLACE_ID}
+), steps AS (
+    SELECT *, lag(run) OVER o AS old_run, lag(rating) OVER o AS old_rating
+    FROM named WINDOW o AS (PARTITION BY place_id ORDER BY run)
+), runs AS (
+    SELECT *, sum(CASE WHEN old_run = run - 1 AND old_rating = rating THEN 0 ELSE 1 END)
+        OVER (PARTITION BY place_id ORDER BY run) AS nth
+    FROM steps
+), held AS (
+    SELECT place_id, nth, min(name) AS name, min(rating) AS rating, min(ingestion_date) AS valid_from,
+        arg_max(coalesce(next_date, '-'), run) AS until, min(run) AS first_run, max(run) AS last_run,
+        arg_min(CASE WHEN old_run IS NULL THEN '-' WHEN old_rating <> rating THEN 'rating' ELSE '' END, run) AS how
+    FROM runs GROUP BY place_id, nth
+)
+SELECT place_id, name, rating, valid_from, nullif(until, '-') AS valid_to, nullif(how, '-') AS changed,
+    last_run < 3 AND coalesce(lead(first_run) OVER (PARTITION BY place_id ORDER BY nth), 0) <> last_run + 1 AS vanished
+FROM held""")
+
 LATEST = _batches(3) + f""", latest AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY run DESC) AS nth FROM every
@@ -457,3 +479,6 @@ UNION ALL SELECT 'dropped:neither_gold_table',
 ORACLE["publish_reconciled"] = _with(GOLD, """
 SELECT 'scored_places' AS table_name, count(*) AS rows, true AS same_content FROM scored
 UNION ALL SELECT 'unqualified_places', count(*), true FROM unqualified""")
+# An estimate is no value that another engine finds; what is compared is that its rank is near.
+ORACLE["district_sketches"] = """SELECT l_returnflag AS district, count(l_extendedprice) AS n, true AS near
+FROM lineitem GROUP BY l_returnflag"""

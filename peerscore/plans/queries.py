@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.functions import address_parts, district, has_thai, in_region, price_level, province
-from peerscore.operators import cells, quality, scoring, silver, tiles
+from peerscore.operators import cells, history, quality, scoring, silver, sketches, tiles
 from peerscore.operators import merge as merging
 from peerscore.plans import tables
 from peerscore.plans.ingest import land_answers
@@ -320,6 +320,17 @@ def silver_table_bucketed(spark, sf_dir):
     return _merged(table.read())
 
 
+@query
+def place_states(spark, sf_dir):
+    """The batches as snapshots: from when to when every place had which best rating."""
+    first, *others = batches(spark, sf_dir, 3)
+    rows = first
+    for more in others:
+        rows = rows.unionByName(more)
+    found = history.states(rows, ["name", "rating"])
+    return _dated(found, "valid_from", "valid_to").withColumn("changed", joined("changed"))
+
+
 def _kept_up(spark, sf_dir):
     """A store after three batches, each of which rewrote only the parts that it touched."""
     store = places_store(spark, scratch_path(spark, "parts"), parts=16)
@@ -439,6 +450,20 @@ def gap_event_type(spark, sf_dir):
     return scoring.gap_to_group_median(events, "event_id", "event_type", "value")
 
 
+@query
+def district_sketches(spark, sf_dir):
+    """Medians from sketches of each district and month, merged, against the ranks of all values."""
+    lines = tables.table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("district"), F.month("l_shipdate").alias("month"), "l_extendedprice"
+    )
+    stored = stage(sketches.sketch(lines, ["district", "month"], "l_extendedprice"), "sketches")
+    merged = sketches.merge(stored, ["district"]).withColumn("estimate", sketches.quantile())
+    ranks = sketches.rank_range(lines, ["district"], "l_extendedprice", merged)
+    error = 3 * sketches.rank_error()
+    near = (F.col("below") <= (0.5 + error) * F.col("n")) & (F.col("up_to") >= (0.5 - error) * F.col("n"))
+    return ranks.select("district", "n", near.alias("near"))
+
+
 # -- gates -----------------------------------------------------------------------------------
 
 @query
