@@ -245,3 +245,15 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
+
+# One row per policy and rule; a rule alone drops a row if it is the only failed one of the policy.
+_RULES_OF = ", ".join(
+    f"('{version}', '{rule}', {mask((rule,))}, {mask(rules)})"
+    for version, rules in POLICIES.items() for rule in rules
+)
+ORACLE["quality_rule_ablations"] = f"""
+WITH ledger AS ({ORACLE["op1_quality_rules"]})
+SELECT policy, rule, CAST(count(*) FILTER (failed & bit <> 0) AS BIGINT) AS n_failed,
+    CAST(count(*) FILTER (failed & whole = bit) AS BIGINT) AS n_only
+FROM ledger, (VALUES {_RULES_OF}) AS r(policy, rule, bit, whole) GROUP BY policy, rule
+"""

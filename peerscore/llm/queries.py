@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from peerscore.llm import (
     warc,
 )
 from peerscore.llm.frames import in_fold
+from peerscore.session import stage
 
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 BYTE_LEVEL = os.environ.get("BYTE_LEVEL_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -47,6 +49,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule drops under each policy, from a stored ledger: texts are read once, for it."""
+    measured = quality_rules.ledger(_table(spark, sf_dir, "documents")).drop("text")
+    ledger = stage(measured, "ledger")
+    each = [
+        quality_rules.ablations(ledger, version).withColumn("policy", F.lit(version))
+        for version in quality_rules.POLICIES
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -164,5 +177,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_line_dedup, op6_document_fingerprints, op7_substring_dedup, op8_language_id,
         op9_sentencepiece, op10_warc,
         op11_decontamination, op12_merkle_manifest, op13_token_alignment,
+        quality_rule_ablations,
     )
 }

@@ -184,11 +184,36 @@ class _Inflated:
             yield piece
 
 
-def _fields(head: bytes) -> dict[str, str]:
+class Fields(dict):
+    """Header fields by name, whose case does not count."""
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name: str) -> bool:
+        return super().__contains__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
+
+
+def _fields(head: bytes) -> Fields:
+    """The fields of a record's head: blanks around a value do not count, and a line that begins
+    with a blank goes on with the value before it. Of a repeated name the last one counts."""
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("no WARC record")
-    return dict(x.split(": ", 1) for x in lines[1:] if x)
+    found, name = Fields(), None
+    for line in filter(None, lines[1:]):
+        if line[0] in " \t" and name:
+            found[name] = f"{found[name]} {line.strip()}".strip()
+            continue
+        name, colon, value = line.partition(":")
+        if not colon:
+            raise ValueError(f"no header field: {line[:80]!r}")
+        name = name.strip().lower()
+        found[name] = value.strip()
+    return found
 
 
 def normalise(archives: DataFrame, folder: str, params: Params = Params()) -> DataFrame:
@@ -245,6 +270,18 @@ _INDEX = pa.schema([
 ])
 
 
+def read_index(index: DataFrame, folder: str) -> DataFrame:
+    """The index of these files as their sidecars have it, from the shared folder.
+
+    Sidecars beside files that ``index`` does not name, which a lost task may have left, are not read.
+    """
+    if index.isEmpty():
+        return index
+    sidecars = index.sparkSession.read.schema(index.schema).json(f"{folder.rstrip('/')}/*-members.cdxj")
+    files = index.select("file").distinct()  # one row per archive
+    return sidecars.join(files, "file", "left_semi")
+
+
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(id, url, type, payload_bytes, payload_digest, refers_to, payload) of the indexed records.
 
@@ -309,7 +346,7 @@ def archived(
     pages: DataFrame, id_col: str = "page_id", url: str = "url", payload: str = "html",
     params: Params = Params(), folder: str | None = None,
 ) -> DataFrame:
-    """Write, normalise and read back: the rows of ``read_records`` for every page."""
+    """Write, normalise and read back by the sidecars: the rows of ``read_records`` for every page."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
     archives = write_archives(pages, folder, id_col, url, payload, params)
-    return read_records(normalise(archives, folder, params), folder)
+    return read_records(read_index(normalise(archives, folder, params), folder), folder)

@@ -338,6 +338,38 @@ def test_classifier_fits_on_one_row_of_a_repeated_id(spark):
     assert len({r["text"] for r in texts.filter("id = 3").collect()}) == 1
 
 
+def test_header_names_have_no_case_and_values_no_blanks():
+    head = b"WARC/1.1\r\nWARC-Type:response\r\ncontent-length:   12 \r\nWarc-Target-Uri: <a:b>\r\n  c\r\nEmpty:"
+    found = warc._fields(head)
+    assert found["WARC-Type"] == "response" and found["Content-Length"] == "12"
+    assert found["warc-target-uri"] == "<a:b> c" and found.get("EMPTY") == ""
+    assert "Warc-type" in found and found.get("other") is None
+    for bad in (b"HTTP/1.1 200\r\n", b"WARC/1.1\r\nno colon"):
+        with pytest.raises(ValueError):
+            warc._fields(bad)
+
+
+def test_foreign_archives_are_normalised(spark, tmp_path):
+    """Archives of others, as one stream or as members, with other spellings of the header."""
+    import gzip
+
+    records = [
+        f"WARC/1.0\r\nwarc-type:{kind}\r\nWARC-RECORD-ID: <urn:{i}>\r\ncontent-LENGTH:{len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+        for i, (kind, body) in enumerate([("warcinfo", "x" * 70_000), ("metadata", ""), ("request", "a\r\n\r\nb")])
+    ]
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "many.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    names = spark.createDataFrame([("one.warc.gz",), ("many.warc.gz",)], "archive string")
+    staged = warc.normalise(names, str(tmp_path))
+    (tmp_path / "lost-members.cdxj").write_text('{"file": "lost-members.warc.gz", "offset": 0}\n')
+    index = warc.read_index(staged, str(tmp_path))
+    assert sorted(map(tuple, index.collect())) == sorted(map(tuple, staged.collect()))
+    assert [r["record_id"] for r in index.orderBy("file", "offset").collect()] == [f"<urn:{i}>" for i in range(3)] * 2
+    for r in index.collect():
+        data = (tmp_path / r["file"]).read_bytes()[r["offset"] : r["offset"] + r["length"]]
+        assert gzip.decompress(data) in records
+
+
 def test_warc(spark):
     rows = [(5, "u\r\nx", "same"), (2, None, "same"), (9, "u", "é\r\n\r\nWARC/1.1"), (None, "u", "same"),
             (7, "u", None), (3, "u", ""), (1, "u", "p" * 3_000_000), (2, None, "same")]
