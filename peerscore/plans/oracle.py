@@ -6,10 +6,12 @@ from peerscore.plans.tables import (
     ADDRESS,
     BATCH_DATES,
     BATCH_STARTS,
+    FAR,
     LATITUDE,
     LONGITUDE,
     PLACE_ID,
     PRICE,
+    RADIUS,
     RATING,
     REVIEWS,
     RUN_DATE,
@@ -240,6 +242,18 @@ ORACLE["tile_leaf_members"] = _with(CELLS, """
 SELECT place_id, level, cell FROM placed JOIN leaves ON (deepest >> (2 * (12 - level))) = cell""")
 
 
+ORACLE["circles_of_radii"] = f"""WITH p AS (
+    SELECT {PLACE_ID} AS place_id, {FAR.format(key="p_partkey", step=7919, range=18001, low=90)} AS lat,
+        {FAR.format(key="p_partkey", step=104729, range=36000, low=180)} AS lon FROM part
+), c AS (
+    SELECT c_custkey AS circle_id, {FAR.format(key="c_custkey", step=6007, range=18001, low=90)} AS lat,
+        {FAR.format(key="c_custkey", step=50023, range=36000, low=180)} AS lon, {RADIUS} AS radius_m FROM customer
+)
+SELECT place_id, circle_id FROM p, c
+WHERE round(2 * 6371008.8 * asin(least(sqrt(power(sin(radians(c.lat - p.lat) / 2), 2)
+    + cos(radians(p.lat)) * cos(radians(c.lat)) * power(sin(radians(c.lon - p.lon) / 2), 2)), 1)), 3) <= radius_m"""
+
+
 # -- silver ----------------------------------------------------------------------------------
 
 ORACLE["silver_flatten"] = _with(SILVER, f"""

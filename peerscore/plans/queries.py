@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.functions import address_parts, district, has_thai, in_region, price_level, province
-from peerscore.operators import cells, history, quality, scoring, silver, sketches, tiles
+from peerscore.operators import cells, circles, history, quality, scoring, silver, sketches, tiles
 from peerscore.operators import merge as merging
 from peerscore.plans import tables
 from peerscore.plans.ingest import land_answers
@@ -201,6 +201,13 @@ def tile_leaf_members(spark, sf_dir):
     return cells.leaf_of_each(places, tiles.Grid(), found).select("place_id", "level", "cell")
 
 
+@query
+def circles_of_radii(spark, sf_dir):
+    """Places all over the sphere in circles of 1 to 512 km, one per customer."""
+    found = circles.circle_members(tables.far_places(spark, sf_dir), tables.far_circles(spark, sf_dir))
+    return found.select("place_id", "circle_id")
+
+
 # -- silver ----------------------------------------------------------------------------------
 
 def _dated(df, *names):

@@ -35,6 +35,9 @@ LATITUDE = """CAST(13.65 AS DOUBLE)
     + CAST((p_partkey * 7919) % 2000 AS DOUBLE) / CAST(10000 AS DOUBLE)"""
 LONGITUDE = """CAST(100.45 AS DOUBLE)
     + CAST((p_partkey * 104729) % 2003 AS DOUBLE) / CAST(10000 AS DOUBLE)"""
+# Coordinates in hundredths of a degree, from -low up.
+FAR = "CAST(({key} * {step}) % {range} AS DOUBLE) / CAST(100 AS DOUBLE) - CAST({low} AS DOUBLE)"
+RADIUS = "CAST(1000.5 AS DOUBLE) * power(CAST(2 AS DOUBLE), c_custkey % 10)"
 TYPE_NAMES = "replace(replace(p_name, 'small', 'cafe'), 'widget', 'bakery')"
 
 # Sightings for the merge: the first batch has the reviews before the first date, the last batch
@@ -106,6 +109,25 @@ def located_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def far_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places all over the sphere, the poles and both sides of 180 degrees included."""
+    return table(spark, sf_dir, "part").select(
+        F.expr(PLACE_ID).alias("place_id"),
+        F.expr(FAR.format(key="p_partkey", step=7919, range=18001, low=90)).alias("latitude"),
+        F.expr(FAR.format(key="p_partkey", step=104729, range=36000, low=180)).alias("longitude"),
+    )
+
+
+def far_circles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A circle per customer, of 1 to 512 km."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("circle_id"),
+        F.expr(FAR.format(key="c_custkey", step=6007, range=18001, low=90)).alias("latitude"),
+        F.expr(FAR.format(key="c_custkey", step=50023, range=36000, low=180)).alias("longitude"),
+        F.expr(RADIUS).alias("radius_m"),
+    )
+
+
 def sightings(
     spark: SparkSession, sf_dir: str, date: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
