@@ -2,8 +2,8 @@
 
 Document frequencies are counted over all documents, in a fixed number of hashed cells. A text's
 terms are its distinct words whose cell is in the band. Several random subsets of the lexicon, of
-four densities and two more for texts of few terms, each give a hash of the terms that they hold;
-texts are alike by the share of equal hashes.
+six densities, each give a hash of the terms that they hold; texts are alike by the share of equal
+hashes. Every text has the same columns, whatever its number of terms.
 """
 
 from __future__ import annotations
@@ -28,24 +28,19 @@ U64 = np.uint64
 @dataclass(frozen=True)
 class Params:
     """A cell is in the band if its document frequency is from ``low`` to ``high`` of all
-    documents. There are ``subsets`` sub-lexicons for each of ``densities``: with density d, a
-    2^d-th of all terms is in each. Sparse ones tell long texts apart, dense ones short texts. Those
-    of the densities ``dense`` are for texts of at most ``few`` terms only."""
+    documents; of one document it is in it anyway. There are ``subsets`` sub-lexicons for each of
+    ``densities``: with density d, a 2^d-th of all terms is in each. Sparse ones stay equal where a
+    long text is edited, dense ones hold terms of short texts."""
 
     cell_bits: int = 22
     low: float = 1e-6
     high: float = 0.02
     subsets: int = 16
-    densities: tuple[int, ...] = (5, 7, 9, 11)
-    dense: tuple[int, ...] = (1, 3)
-    few: int = 32
+    densities: tuple[int, ...] = (1, 3, 5, 7, 9, 11)
 
     def columns(self) -> int:
         return self.subsets * len(self.densities)
 
-    def all_columns(self) -> int:
-        return self.columns() + self.subsets * len(self.dense)
-
 
 def _cells(terms: np.ndarray, bits: int) -> np.ndarray:
     return (terms >> U64(64 - bits)).view(np.int64)
@@ -97,10 +92,10 @@ def band(docs: DataFrame, text: str = "text", params: Params = Params()) -> np.n
 
 
 def prints(texts: pa.Array, bits: np.ndarray, params: Params) -> np.ndarray:
-    """Per text, a 32-bit hash of each sub-lexicon's terms (0: it holds none of them; those of
-    ``dense`` last), and two columns with a hash of all its terms if no sub-lexicon holds one, or
-    of the whole text if no term is in the band (else 0)."""
-    parts = [np.zeros((0, params.all_columns() + 2), dtype=np.uint32)]
+    """Per text, a 32-bit hash of each sub-lexicon's terms (0: it holds none of them),
+    and two columns with a hash of all its terms if no sub-lexicon holds one, or of the whole text
+    if no term is in the band (else 0)."""
+    parts = [np.zeros((0, params.columns() + 2), dtype=np.uint32)]
     for _, data, at in arrays.chunks(texts):
         kept = []
         for terms in _terms(data, at):
@@ -109,13 +104,13 @@ def prints(texts: pa.Array, bits: np.ndarray, params: Params) -> np.ndarray:
         sizes = np.array([len(x) for x in kept])
         before = np.append(0, np.cumsum(sizes))
         terms = np.concatenate(kept)
-        found = np.zeros((len(kept), params.all_columns() + 2), dtype=np.uint32)
-        _fill(found, slice(None), terms, before, params.densities, params)
-        few = np.flatnonzero((sizes > 0) & (sizes <= params.few))
-        if len(few):
-            own = np.concatenate([kept[i] for i in few])
-            sums = np.append(0, np.cumsum(sizes[few]))
-            _fill(found, few, own, sums, params.dense, params, params.columns())
+        found = np.zeros((len(kept), params.columns() + 2), dtype=np.uint32)
+        for k, picked in enumerate(_subsets(terms, params.densities, params.subsets)):
+            where = np.searchsorted(picked, before)
+            # the terms are sorted, so equal sets are equal runs
+            found[:, k] = _filled(
+                arrays.hash_runs(terms[picked], where[:-1], where[1:]), np.diff(where)
+            )
         whole = np.where(
             sizes > 0, arrays.hash_runs(terms, before[:-1], before[1:]),
             arrays.hash_spans(data, at[:-1], at[1:]),
@@ -127,16 +122,6 @@ def prints(texts: pa.Array, bits: np.ndarray, params: Params) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def _fill(found, rows, terms: np.ndarray, before: np.ndarray, densities, params, at: int = 0) -> None:
-    """Sets the columns of these densities, from ``at`` on, in the rows that the terms are of."""
-    for k, picked in enumerate(_subsets(terms, densities, params.subsets), at):
-        where = np.searchsorted(picked, before)
-        # the terms are sorted, so equal sets are equal runs
-        found[rows, k] = _filled(
-            arrays.hash_runs(terms[picked], where[:-1], where[1:]), np.diff(where)
-        )
-
-
 def _subsets(terms: np.ndarray, densities: tuple[int, ...], subsets: int) -> Iterator[np.ndarray]:
     """The places of the terms that each sub-lexicon holds; one hash serves several of them."""
     turn = 0
@@ -153,17 +138,14 @@ def _filled(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, (hashes >> U64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0))
 
 
-def likeness(a: np.ndarray, b: np.ndarray, params: Params = Params()) -> np.ndarray:
-    """The share of equal hashes among the sub-lexicons that hold a term of either text; those of
-    ``dense`` count if both texts have few terms.
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The share of equal hashes among the sub-lexicons that hold a term of either text.
 
     1 for equal fingerprints; 0 if a text's hash is of all its terms or of the whole text and the
     other's fingerprint isn't equal to it.
     """
     a_own, b_own = a[:, :-2], b[:, :-2]
     either = (a_own | b_own) > 0
-    n = params.columns()
-    either[:, n:] &= (a_own[:, n:].any(1) & b_own[:, n:].any(1))[:, None]
     share = (either & (a_own == b_own)).sum(1) / np.maximum(either.sum(1), 1)
     return np.where((a == b).all(1), 1.0, share)
 
@@ -213,7 +195,7 @@ def _compared(ids: pa.Array, texts: list[str], following: list[str], bits, param
         ids, pa.array([len(x) for x in texts], pa.int64()),
         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
         pa.array(hexed(own), pa.string()), pa.array(hexed(other), pa.string()),
-        pa.array(likeness(own, other, params)), pa.array(likeness(own, nexts, params)),
+        pa.array(likeness(own, other)), pa.array(likeness(own, nexts)),
     ]
 
 

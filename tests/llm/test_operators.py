@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -21,6 +22,7 @@ from peerscore.llm import (
     span_dedup,
     warc,
 )
+from peerscore.llm.arrays import LOWER, hash_spans
 from peerscore.llm.queries import PIECES
 from tests.llm import brute
 
@@ -217,6 +219,41 @@ def test_fingerprints_against_edits(docs, table):
     assert all(0 <= r[c] <= 1 for r in found for c in ("near_edited", "near_next"))
 
 
+def test_fingerprints_equal_brute_force(docs, table):
+    """Document frequencies, the band, every sub-lexicon's hash and the likeness, word by word."""
+    params = fingerprints.Params(subsets=3, densities=(1, 3, 5), high=0.1)
+    bits = fingerprints.band(docs, "text", params)
+    texts = [t or "" for _, t, _ in table]
+
+    def terms(text):
+        lowered = text.encode().translate(bytes(LOWER.tolist()))
+        return {w for w in re.split(rb"[\x20\x09-\x0D]+", lowered) if w}
+
+    def hashed(word):
+        data = np.frombuffer(word, dtype=np.uint8)
+        return int(hash_spans(data, np.array([0]), np.array([len(data)]))[0])
+
+    number = {w: hashed(w) for t in texts for w in terms(t)}
+    cell = {w: h >> (64 - params.cell_bits) for w, h in number.items()}
+    often = Counter(c for t in texts for c in [cell[w] for w in terms(t)])
+    inside = {c for c, n in often.items() if n == 1 or n <= 0.1 * len(texts)}
+    assert {c for c in often if bits[c >> 6] >> (c & 63) & 1} == inside
+    found = fingerprints.prints(pa.array(texts), bits, params)
+    again = []
+    for text in texts:
+        kept = np.array(sorted(number[w] for w in terms(text) if cell[w] in inside), dtype=np.uint64)
+        sets = [kept[p] for p in fingerprints._subsets(kept, params.densities, params.subsets)]
+        again.append([tuple(s.tolist()) for s in sets])
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            same = [a == b for a, b in zip(again[i], again[j], strict=True)]
+            assert [bool(x) for x in found[i][:-2] == found[j][:-2]] == same
+            held = [bool(a or b) for a, b in zip(again[i], again[j], strict=True)]
+            share = sum(s and h for s, h in zip(same, held, strict=True)) / max(sum(held), 1)
+            expected = 1.0 if (found[i] == found[j]).all() else share
+            assert fingerprints.likeness(found[i : i + 1], found[j : j + 1])[0] == pytest.approx(expected)
+
+
 def test_fingerprints_of_short_texts(spark):
     bits = np.full((1 << 22) // 64, -1, dtype=np.int64)  # every term is in the band
     for n in (1, 2, 3, 5, 12):
@@ -233,7 +270,7 @@ def test_fingerprints_of_short_texts(spark):
 
 def test_all_terms_are_hashed_where_no_sub_lexicon_holds_one():
     bits = np.full((1 << 22) // 64, -1, dtype=np.int64)
-    sparse = fingerprints.Params(dense=())
+    sparse = fingerprints.Params(densities=(5, 7, 9, 11))
     texts = [f"u{i}" for i in range(300)]
     found = fingerprints.prints(pa.array(texts), bits, sparse)
     assert (found[:, :-2].any(1) != found[:, -2:].any(1)).all()
