@@ -2,8 +2,11 @@
 
 Reads $BENCH_SF_DIR (default sf0.1) on local[$BENCH_CPUS]. Every query is run once to warm the
 JVM up; the better of two further runs counts, from building its plan to writing its last row to
-the noop sink. The last run's jobs, megabytes read and megabytes shuffled come from the event log,
-which goes to a temporary folder.
+the noop sink. A second session then runs every query once more with an event log, in a temporary
+folder, for its jobs, megabytes read and megabytes shuffled; those runs are not timed.
+
+``calibration`` is the time of a fixed job that reads nothing and depends on no code of this
+repository: divide by it to compare figures of different machines or days.
 """
 
 import json
@@ -54,12 +57,8 @@ def plan_figures(folder: str) -> dict[str, dict[str, float]]:
     }
 
 
-def main() -> None:
-    events = tempfile.mkdtemp(prefix="peerscore-events-")
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
-    spark = (
+def session(cpus: str, **conf: str) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("peerscore-bench")
         .config("spark.ui.enabled", "false")
@@ -67,28 +66,56 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.eventLog.enabled", "true")
-        .config("spark.eventLog.dir", f"file://{events}")
-        .config("spark.eventLog.compress", "false")
-        .config("spark.eventLog.rolling.enabled", "false")
-        .getOrCreate()
     )
+    spark = builder.config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def run(spark: SparkSession, name: str, sf_dir: str) -> float:
+    start = time.perf_counter()
+    with scratch_scope(spark):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+
+def calibration(spark: SparkSession) -> float:
+    """Seconds to hash and group 40,000,000 numbers; the best of three runs."""
+    def once() -> float:
+        start = time.perf_counter()
+        numbers = spark.range(40_000_000).selectExpr("xxhash64(id) AS h")
+        numbers.groupBy((numbers.h % 1000).alias("g")).count().write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    return min(once() for _ in range(3))
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    names = sys.argv[1:] or HEADLINE
+    spark = session(cpus, **{"spark.eventLog.enabled": "false"})
+    fixed = round(calibration(spark), 3)
     seconds = {}
     for name in names:
-        runs = []
-        for last in (False, False, True):
-            spark.sparkContext.setLocalProperty(TAG, name if last else None)
-            start = time.perf_counter()
-            with scratch_scope(spark):
-                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-                runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs[1:]), 3)
-    total = round(sum(seconds.values()), 3)
+        run(spark, name, sf_dir)
+        seconds[name] = round(min(run(spark, name, sf_dir) for _ in range(2)), 3)
+    spark.stop()
+
+    events = tempfile.mkdtemp(prefix="peerscore-events-")
+    spark = session(
+        cpus, **{
+            "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{events}",
+            "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+        },
+    )
+    for name in names:
+        spark.sparkContext.setLocalProperty(TAG, name)
+        run(spark, name, sf_dir)
     spark.stop()
     print(json.dumps({
-        "metric": "total_query_time", "value": total, "unit": "sec", "queries": seconds,
-        "plans": plan_figures(events),
+        "metric": "total_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec",
+        "queries": seconds, "calibration": fixed, "plans": plan_figures(events),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 
