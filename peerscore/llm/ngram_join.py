@@ -343,10 +343,13 @@ def _groups(shared: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "node")
     )
     several = (
-        known.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .filter("lo < hi").select("group")
+        known.groupBy("group").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")
+        )
+        .filter("lo < hi").select("group", "size")
     )
-    return known.join(several, "group", "left_semi").select("group", "node", "component")
+    groups, _ = settle_groups(several, ["group"], "size")  # a large group stays where it is
+    return groups.join(known).select("group", "node", "component")
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -355,10 +358,11 @@ def _dealt(members: DataFrame) -> DataFrame:
     A group of up to BLOCK members is one block. A member of a larger one goes to all pairs of
     blocks with its own.
     """
-    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    busy = sizes.filter("blocks > 1")
+    sizes = members.groupBy("group").agg(F.count("*").alias("size"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    busy, _ = settle_groups(sizes.withColumn("blocks", blocks).filter("blocks > 1"), ["group"], "size")
     return (
-        members.join(busy, "group", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        busy.join(members, "left").drop("size").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
