@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.arrays import CHUNK_BYTES, gather, segment_sum, utf8
+from peerscore.llm.arrays import CHUNK_BYTES, segment_sum, utf8
 from peerscore.llm.frames import schema_with
 from peerscore.session import stage
 
