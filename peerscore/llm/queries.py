@@ -42,6 +42,8 @@ def _sha256(text: Column) -> Column:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measurements and failed rules, and what the newest policy makes of them. Null
+    and empty texts have zeros and fail; repeated rows each have a row."""
     ledger = quality_rules.ledger(_table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(ledger).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -61,11 +63,15 @@ def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and the smallest id that links reach. Null, empty and wordless texts
+    have an empty set and are linked with nothing; repeated rows are copies."""
     found = ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model of labelled rows outside of the held-out fold. Texts without
+    words have the score of the bias alone."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     sample = quality_classifier.sample_labels(_table(spark, sf_dir, "labels"))
     model = quality_classifier.fit(docs, sample)
@@ -76,6 +82,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document. Null texts have size 0; a null source is one."""
     return mixing.mixed(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"),
@@ -83,6 +90,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten or more documents have; a null text is one empty line."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_frequent_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256")
@@ -90,15 +98,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and how like its own edit and the next document's it is."""
     return fingerprints.against_edits(_table(spark, sf_dir, "documents"))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of repeated spans; null stays null."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return span_dedup.drop_repeated_spans(docs)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by a model of rows outside of the held-out fold; `und` without letters."""
     docs = _table(spark, sf_dir, "documents")
     held_out = in_fold("doc_id", 5, 0)
     model = language_id.learn(docs.filter(~held_out))
@@ -109,6 +120,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, and whether they decode to its text; null and empty have none."""
     pieces = sentencepiece.Vocabulary.load(PIECES)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     decoded = sentencepiece.with_text(sentencepiece.with_ids(docs, pieces), pieces)
@@ -120,6 +132,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back; equal payloads are one response and revisits."""
     pages = _table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
     return warc.archived(pages).select(
