@@ -150,8 +150,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a == b).all(1), 1.0, share)
 
 
+def packed(found: np.ndarray) -> list[bytes]:
+    return [x.astype(">u4").tobytes() for x in found]
+
+
 def hexed(found: np.ndarray) -> list[str]:
-    return [x.astype(">u4").tobytes().hex() for x in found]
+    return [x.hex() for x in packed(found)]
 
 
 def fingerprints(docs: DataFrame, text: str = "text", params: Params = Params()) -> DataFrame:
@@ -172,12 +176,16 @@ def fingerprints(docs: DataFrame, text: str = "text", params: Params = Params())
     return clean.mapInArrow(run, schema_with(clean, fingerprint="string"))
 
 
+#: Fingerprints are kept as bytes until the last step; as text they are twice as long.
 MADE = {
-    "n_chars": "long", "edited_sha256": "string", "fingerprint": "string",
-    "edited_fingerprint": "string", "near_edited": "double", "near_next": "double",
+    "n_chars": "long", "edited_sha256": "string", "fingerprint": "binary",
+    "edited_fingerprint": "binary", "near_edited": "double", "near_next": "double",
 }
 
 
+_MADE = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+
+
 def edited_text(text: str, following: str) -> str:
     half = len(text) // 2
     return text[: len(text) - half] + following[:half]
@@ -194,7 +202,7 @@ def _compared(ids: pa.Array, texts: list[str], following: list[str], bits, param
     return [
         ids, pa.array([len(x) for x in texts], pa.int64()),
         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
-        pa.array(hexed(own), pa.string()), pa.array(hexed(other), pa.string()),
+        pa.array(packed(own), pa.binary()), pa.array(packed(other), pa.binary()),
         pa.array(likeness(own, other)), pa.array(likeness(own, nexts)),
     ]
 
@@ -222,8 +230,7 @@ def against_edits(
         held = None  # the last row so far, whose next row isn't known yet
 
         def aside(row: pa.RecordBatch, place: str) -> pa.RecordBatch:
-            made = [row.column(0), pa.nulls(1, pa.int64()), *(pa.nulls(1, pa.string()),) * 3,
-                    *(pa.nulls(1, pa.float64()),) * 2]
+            made = [row.column(0), *(pa.nulls(1, t) for t in _MADE)]
             return pa.RecordBatch.from_arrays(
                 [*made, pa.array([part], pa.int64()), pa.array([place]), row.column(1)], wide.names
             )
@@ -265,6 +272,8 @@ def against_edits(
                     _compared(piece.column(0), texts, following, bits.value, params), schema.names
                 )
 
-    return found.filter("place IS NULL").select(*schema.names).unionByName(
+    every = found.filter("place IS NULL").select(*schema.names).unionByName(
         ends.mapInArrow(finish, schema)
     )
+    text_of = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return every.withColumns(text_of)
