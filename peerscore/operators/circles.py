@@ -98,7 +98,9 @@ def circle_members(
     9,900 km is refused.
 
     Circles that were measured to be few travel to the places. Otherwise both are shuffled by cell,
-    but for cells with more than ``hot_rows`` places: their circles travel, if those are few.
+    but for cells with more than ``hot_rows`` places: their circles travel, if those are few. What
+    was measured not to be small is never broadcast: Spark's own estimate of it follows from the
+    files that circles and places come from, and leaves out that each meets many cells.
     """
     given, seen = settle(
         circles.select(
@@ -120,9 +122,9 @@ def circle_members(
         crowded = at.groupBy(*_CELL).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
         hot, _ = settle(crowded.select(*_CELL))  # few: each has more than hot_rows places
         over, over_size = settle(cells.join(F.broadcast(hot), _CELL, "left_semi"))
-        met = at.join(F.broadcast(hot), _CELL, "left_anti").join(cells, _CELL).unionByName(
+        met = at.join(F.broadcast(hot), _CELL, "left_anti").join(cells.hint("merge"), _CELL).unionByName(
             at.join(F.broadcast(hot), _CELL, "left_semi").join(
-                F.broadcast(over) if is_small(over_size) else over, _CELL
+                F.broadcast(over) if is_small(over_size) else over.hint("merge"), _CELL
             )
         )
     distance = metres_between(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))

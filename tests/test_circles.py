@@ -7,6 +7,7 @@ import pytest
 
 from peerscore.functions.geo import EARTH_RADIUS_M
 from peerscore.operators import circles as c
+from tests.helpers import plan
 
 PLACES = "place_id int, latitude double, longitude double, radius_m string, distance_m string"
 CIRCLES = "circle_id int, latitude double, longitude double, radius_m double"
@@ -84,3 +85,14 @@ def test_no_circles_no_places(spark):
     assert c.circle_members(some.limit(0), spark.createDataFrame(circles, CIRCLES)).count() == 0
     with pytest.raises(ValueError, match="radius"):
         c.circle_members(some, spark.createDataFrame([(1, 0.0, 0.0, 1.5e7)], CIRCLES))
+
+
+def test_many_circles_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes the cells for as small as the files that they come from."""
+    monkeypatch.setattr(c, "is_small", lambda size: False)
+    places, circles = rows()
+    spark.createDataFrame(places, PLACES).write.parquet(str(tmp_path / "places"))
+    spark.createDataFrame(circles, CIRCLES).write.parquet(str(tmp_path / "circles"))
+    found = c.circle_members(spark.read.parquet(str(tmp_path / "places")), spark.read.parquet(str(tmp_path / "circles")))
+    joins = [line for line in plan(found).splitlines() if "Join [_level" in line and "Inner" in line]
+    assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
