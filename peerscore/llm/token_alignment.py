@@ -192,6 +192,15 @@ def _align_texts(texts: list[str | None], a: Tokenizer, b: Tokenizer, pairs: Pai
 ALIGNED = {name: "array<int>" for name in ("a_ids", "b_ids", "a_group", "b_group", "links")}
 
 
+def _aligned(
+    batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, text: str
+) -> Iterator[pa.RecordBatch]:
+    a, b, pairs = byte_level(a_path), pieces(b_path), pair_table(a_path, b_path)
+    for batch in _chunks(batches, text):
+        made = _align_texts(batch.column(text).to_pylist(), a, b, pairs)
+        yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *ALIGNED])
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     """All rows and columns with both tokenizations of a text, and how they align.
 
@@ -205,12 +214,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     clean = docs.drop(*ALIGNED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, pairs = byte_level(a_path), pieces(b_path), pair_table(a_path, b_path)
-        for batch in _chunks(batches, text):
-            made = _align_texts(batch.column(text).to_pylist(), a, b, pairs)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *made], [*batch.schema.names, *ALIGNED]
-            )
+        return _aligned(batches, a_path, b_path, text)
 
     return clean.mapInArrow(run, schema_with(clean, **ALIGNED))
 
@@ -219,46 +223,66 @@ def _spelled(n: int, marks: str) -> list[str]:
     return [f"{i}{mark}" for mark in marks for i in range(n)]
 
 
-def with_group_text(aligned: DataFrame, name: str = "groups") -> DataFrame:
-    """Aligned rows with their groups spelled out as ``a1,a2|b1;a3|b2,b3``: the ids of both sides
-    in order. Rows without tokens have an empty string; a column of that name is replaced."""
-    clean = aligned.drop(name)
-
+def _with_groups(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     def arrays_of(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
         lists = batch.column(column)
         sizes = lists.value_lengths().fill_null(0).to_numpy()
         return lists.flatten().to_numpy(), np.append(0, np.cumsum(sizes, dtype=np.int64))
 
+    spelled: list[str] = []
+    n = 0
+    for whole in batches:
+        for row in range(0, whole.num_rows, 100):
+            batch = whole.slice(row, 100)
+            a, a_before = arrays_of(batch, "a_ids")
+            b, b_before = arrays_of(batch, "b_ids")
+            highest = int(max(a.max(initial=0), b.max(initial=0)))
+            if highest >= n:
+                n = highest + 1
+                spelled = _spelled(n, ",|;")
+            a_group, b_group = arrays_of(batch, "a_group")[0], arrays_of(batch, "b_group")[0]
+            found = []
+            for k in range(batch.num_rows):
+                mine = slice(a_before[k], a_before[k + 1]), slice(b_before[k], b_before[k + 1])
+                group = np.concatenate([2 * a_group[mine[0]], 2 * b_group[mine[1]] + 1])
+                order = np.argsort(group, kind="stable")
+                group = group[order]
+                ids = np.concatenate([a[mine[0]], b[mine[1]]]).astype(np.int64)[order]
+                last = np.append(group[1:] != group[:-1], True)[: len(group)]
+                codes = ids + n * np.where(last, 1 + group % 2, 0)
+                found.append("".join(map(spelled.__getitem__, codes.tolist()))[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, name]
+            )
+
+
+def with_group_text(aligned: DataFrame, name: str = "groups") -> DataFrame:
+    """Aligned rows with their groups spelled out as ``a1,a2|b1;a3|b2,b3``: the ids of both sides
+    in order. Rows without tokens have an empty string; a column of that name is replaced."""
+    clean = aligned.drop(name)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled: list[str] = []
-        n = 0
-        for whole in batches:
-            for row in range(0, whole.num_rows, 100):
-                batch = whole.slice(row, 100)
-                a, a_before = arrays_of(batch, "a_ids")
-                b, b_before = arrays_of(batch, "b_ids")
-                highest = int(max(a.max(initial=0), b.max(initial=0)))
-                if highest >= n:
-                    n = highest + 1
-                    spelled = _spelled(n, ",|;")
-                a_group, b_group = arrays_of(batch, "a_group")[0], arrays_of(batch, "b_group")[0]
-                found = []
-                for k in range(batch.num_rows):
-                    mine = slice(a_before[k], a_before[k + 1]), slice(b_before[k], b_before[k + 1])
-                    group = np.concatenate([2 * a_group[mine[0]], 2 * b_group[mine[1]] + 1])
-                    order = np.argsort(group, kind="stable")
-                    group = group[order]
-                    ids = np.concatenate([a[mine[0]], b[mine[1]]]).astype(np.int64)[order]
-                    last = np.append(group[1:] != group[:-1], True)[: len(group)]
-                    codes = ids + n * np.where(last, 1 + group % 2, 0)
-                    found.append("".join(map(spelled.__getitem__, codes.tolist()))[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, name]
-                )
+        return _with_groups(batches, name)
 
     return clean.mapInArrow(run, schema_with(clean, **{name: "string"}))
 
 
+def align_with_groups(
+    docs: DataFrame, a_path: str, b_path: str, text: str = "text", name: str = "groups"
+) -> DataFrame:
+    """The rows of ``with_group_text(align(...))``, made by one Python worker per task.
+
+    Groups are spelled out from each chunk as it is aligned. Between two workers, texts and ids
+    would travel in batches of 10,000 rows, which the executor and both workers hold whole.
+    """
+    clean = docs.drop(*ALIGNED, name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _with_groups(_aligned(batches, a_path, b_path, text), name)
+
+    return clean.mapInArrow(run, schema_with(clean, **ALIGNED, **{name: "string"}))
+
+
 def pair_counts(aligned: DataFrame, a_path: str, b_path: str) -> np.ndarray:
     """How many links of all rows hold each pair of ``pair_table``.
 
@@ -324,7 +348,7 @@ def scored(
     Texts are tokenized once: the counts, the spelled groups' SHA-256 and the links are staged,
     then the pairs are counted over all rows and looked up again for each link.
     """
-    groups = with_group_text(align(docs, a_path, b_path, text))
+    groups = align_with_groups(docs, a_path, b_path, text)
     staged = stage(groups.select(
         *keep,
         F.size("a_ids").cast("long").alias("n_a"),

@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from peerscore.llm import token_alignment as ta
 from peerscore.llm.queries import BYTE_LEVEL, PIECES
+from tests.helpers import plan
 
 SCHEMA = "doc_id long, text string, links string, groups string, n_best string"
 
@@ -88,6 +89,15 @@ def test_aligned_rows_keep_their_columns(spark):
     assert rows[2]["a_ids"] == rows[2]["links"] == [] and rows[2]["groups"] == ""
 
 
+def test_one_worker_aligns_and_spells(spark):
+    rows = [(k, t, "own", "own", "own") for k, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    two, one = ta.with_group_text(ta.align(df, BYTE_LEVEL, PIECES)), ta.align_with_groups(df, BYTE_LEVEL, PIECES)
+    assert one.schema == two.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    assert 2 * plan(one).count("MapInArrow run") == plan(two).count("MapInArrow run") > 0
+
+
 def test_an_empty_table(spark):
     assert ta.scored(spark.createDataFrame([], SCHEMA), BYTE_LEVEL, PIECES, keep=["doc_id"]).count() == 0
 
