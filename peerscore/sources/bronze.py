@@ -12,19 +12,24 @@ from peerscore.schemas import BRONZE, CORRUPT
 from peerscore.sources import files
 
 
+# Ends a record where a whole file is one. JSON text in UTF-8 never holds it; other encodings do, and
+# give corrupt records.
+NEVER = "\0"
+
+
 def read_bronze(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw places with an explicit schema: absent fields are NULL, and no pass infers types.
 
     JSON Lines files split over many tasks. ``multi_line`` reads files that hold one top-level
-    array, one task per file. Text that does not parse is kept in the corrupt-record column.
+    array, one task per file, as single records: Spark's ``multiLine`` opens the file once more for
+    every number that is read as text. Such a file has less than 2 GB; ``arrays.read_arrays`` reads
+    larger ones. Text that does not parse is kept in the corrupt-record column.
     """
     schema = StructType([*BRONZE.fields, StructField(CORRUPT, StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    if multi_line:
+        reader = reader.option("lineSep", NEVER)
+    return reader.json(path)
 
 
 def write_bronze(df: DataFrame, path: str) -> None:

@@ -127,3 +127,36 @@ def test_rows_that_arrive_changed_are_not_published(spark, tmp_path, monkeypatch
     assert catalog.content(spark.table("peerscore_content.t")) == catalog.content(good)
     assert len(spark.catalog.listTables("peerscore_content")) == 2
     spark.sql("DROP DATABASE peerscore_content CASCADE")
+
+
+def test_arrays_are_read_once(spark, tmp_path):
+    """Numbers are read as they are written, without going back to the file for each of them."""
+    n = 2000
+    records = ",\n".join(
+        f'{{"id": "a{k}", "rating": 4.50, "userRatingCount": 1e2, "location": {{"latitude": 13.70, "longitude": -0}}}}'
+        for k in range(n)
+    )
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.json").write_text(f"[{records}]")
+    (tmp_path / "in" / "other.json").write_text(json.dumps(PLACE, indent=2))
+    (tmp_path / "in" / "blank.json").write_text(" \n")
+    rows = bronze.read_bronze(spark, str(tmp_path / "in"), multi_line=True)
+    found = rows.collect()
+    numbers = {(r["rating"], r["userRatingCount"], r["location"]["latitude"]) for r in found}
+    assert len(found) == n + 1 and {r[CORRUPT] for r in found} == {None}
+    assert numbers == {("4.50", "1e2", "13.70"), ("3.9", "17", "13.7781")}
+    assert rows.count() == n + 1
+
+    def bytes_read():
+        return sum(x.getBytesRead() for x in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    rows.write.format("noop").mode("overwrite").save()
+    size = sum(p.stat().st_size for p in (tmp_path / "in").iterdir())
+    assert 0 < bytes_read() - before <= 3 * size
+
+
+def test_arrays_in_another_encoding_are_reported(spark, tmp_path):
+    (tmp_path / "wide.json").write_text(json.dumps([PLACE]), encoding="utf-16-le")
+    rows = bronze.read_bronze(spark, str(tmp_path / "wide.json"), multi_line=True).collect()
+    assert rows and all(r[CORRUPT] is not None and r["id"] is None for r in rows)
