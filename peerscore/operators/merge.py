@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.session import is_small
+from peerscore.session import fewer
 
 BATCH_WINS = "batch_wins"
 NEWEST_WINS = "newest_wins"
@@ -28,7 +28,14 @@ def check_keys(df: DataFrame, key: str = "place_id") -> bool:
     ).first()
     if seen["rows"] and seen["most"]["copies"] > 1:
         raise DuplicateKeys(f"key {seen['most'][key]!r} occurs {seen['most']['copies']} times")
-    return is_small(seen.asDict())
+    return fewer(seen.asDict())
+
+
+def keys_of(batch: DataFrame, small: bool, key: str = "place_id") -> DataFrame:
+    """The keys of a batch, to be joined to. Those that were not measured to be small are shuffled;
+    Spark would broadcast them if their files were well compressed."""
+    keys = batch.select(key)
+    return F.broadcast(keys) if small else keys.hint("merge")
 
 
 def first_seen(history: DataFrame, batch: DataFrame, key: str = "place_id") -> DataFrame:
@@ -43,8 +50,7 @@ def first_seen(history: DataFrame, batch: DataFrame, key: str = "place_id") -> D
 
 def carried_over(history: DataFrame, batch: DataFrame, key: str = "place_id") -> DataFrame:
     """History rows whose key is absent from the batch."""
-    keys = batch.select(key)
-    return history.join(F.broadcast(keys) if check_keys(batch, key) else keys, key, "left_anti")
+    return history.join(keys_of(batch, check_keys(batch, key), key), key, "left_anti")
 
 
 def merge(
@@ -70,7 +76,7 @@ def merge(
         joined = history.alias("h").join(batch.alias("n"), same_key, "full_outer")
         return _resolve(joined, history.columns, key, policy)
 
-    keys = F.broadcast(batch.select(key))
+    keys = keys_of(batch, small, key)
     untouched = history.join(keys, key, "left_anti")
     # The history keys are unique, so the matched rows are at most as many as the batch rows.
     matched = history.join(keys, key, "left_semi")

@@ -144,7 +144,8 @@ def sightings(
     seen = lines.groupBy("l_partkey").agg(
         (F.max("l_quantity") / 10).alias("rating"), F.count("*").cast("int").alias("cnt")
     )
-    part = table(spark, sf_dir, "part")
+    # Parts grow with the lines; Spark would broadcast them if their file were well compressed.
+    part = table(spark, sf_dir, "part").hint("merge")
     return part.join(seen, part.p_partkey == seen.l_partkey).select(
         F.expr(PLACE_ID).alias("place_id"),
         F.col("p_name").alias("name"),

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from peerscore.operators.merge import BATCH_WINS, check_keys, merge
+from peerscore.operators.merge import BATCH_WINS, check_keys, keys_of, merge
 from peerscore.operators.quality import FAIL, GateFailed, gold_checks, silver_checks
 from peerscore.operators.scoring import add_category, score_with
 from peerscore.operators.upkeep import fold, moved, signed_changes, stats_of
 from peerscore.schemas import GOLD_SCORED, GOLD_UNQUALIFIED, MIN_PLACES, MIN_REVIEWS, SILVER
-from peerscore.session import is_small, scratch_scope, settle, stage
+from peerscore.session import fewer, scratch_scope, settle, stage
 from peerscore.sources.parts import Draft, PartStore
 
 SCORED, UNQUALIFIED = "scored_places", "unqualified_places"
@@ -75,7 +75,7 @@ def _before(draft: Draft, table: str, parts: list[int], schema: StructType | str
 
 def _apply(store, batch, policy, min_reviews, min_places, gates) -> UpkeepReport:
     small = check_keys(batch)
-    keys = F.broadcast(batch.select("place_id")) if small else batch.select("place_id")
+    keys = keys_of(batch, small)
     draft = store.draft()
     in_silver = store.touched("silver", batch)
     if not in_silver:
@@ -97,8 +97,7 @@ def _apply(store, batch, policy, min_reviews, min_places, gates) -> UpkeepReport
 
     # Of the old gold rows of these parts, those of the batch go, and those of districts that moved
     # are scored again with the rows that come; the others are copied.
-    if is_small(counted):
-        again = F.broadcast(again)
+    again = F.broadcast(again) if fewer(counted) else again.hint("merge")
     rest = {
         name: rows.join(keys, "place_id", "left_anti")
         for name in (SCORED, UNQUALIFIED) if (rows := draft.before(name, in_gold)) is not None

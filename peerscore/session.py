@@ -27,6 +27,10 @@ from peerscore.sources import files
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# The keys of a batch and the districts that it moved are broadcast again and again by one run, and
+# the driver gathers them each time, so they must be fewer.
+REPEATED_BYTES = 8 * 1024 * 1024
+
 # A group with more rows than this is hot.
 HOT_ROWS = 1_000_000
 
@@ -92,6 +96,11 @@ def is_small(size: dict) -> bool:
     return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
 
 
+def fewer(size: dict) -> bool:
+    """Whether a table is small enough to be broadcast by many jobs of a run."""
+    return is_small(size) and size["bytes"] <= REPEATED_BYTES
+
+
 def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     """Run a derived table once; its size and further metrics are counted on the way.
 

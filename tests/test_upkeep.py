@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from peerscore import session
 from peerscore.operators import upkeep as up
 from peerscore.operators.merge import NEWEST_WINS, DuplicateKeys, merge
 from peerscore.operators.quality import GateFailed
@@ -14,7 +15,7 @@ from peerscore.operators.scoring import district_stats, score_places
 from peerscore.operators.silver import first_version
 from peerscore.plans import upkeep as run
 from peerscore.schemas import SILVER
-from tests.helpers import silver_row, silver_table
+from tests.helpers import plan, silver_row, silver_table
 
 START = datetime.date(2026, 8, 1)
 
@@ -143,3 +144,26 @@ def test_changes_cancel_out(spark):
     assert got == {(3.9, -1), (4.1, 1)}
     state = up.district_counts(same)
     assert {tuple(r) for r in up.stats_of(state).collect()} == {tuple(r) for r in district_stats(same).collect()}
+
+
+def test_large_batches_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Keys that were measured not to be small stay where they are, whatever their files weigh."""
+    seen = []
+    real = run.Draft.write
+
+    def write(draft, table, rows, parts):
+        seen.append(plan(rows))
+        return real(draft, table, rows, parts)
+
+    monkeypatch.setattr(run.Draft, "write", write)
+    monkeypatch.setattr(session, "REPEATED_BYTES", 10, raising=False)
+    store = run.places_store(spark, str(tmp_path / "store"), parts=4)
+    for week, ids in enumerate([range(60), range(50, 75)]):
+        path = str(tmp_path / f"batch-{week}")
+        batch(spark, week, random_rows(random.Random(week), ids)).write.parquet(path)
+        run.apply_batch(store, spark.read.parquet(path), gates=False)
+    assert len(seen) == 8 and store.read("silver").count() == 75
+    for text in seen:
+        joins = [x for x in text.splitlines() if "Join [place_id" in x or "Join [khet" in x and "LeftAnti" in x]
+        assert all("SortMergeJoin" in x for x in joins)
+    assert any("Join [place_id" in x for x in seen)
