@@ -114,6 +114,12 @@ def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     return settled, seen.get
 
 
+def measure(df: DataFrame) -> dict:
+    """Rows and bytes of a derived table that is cheap to derive again, and so is not kept."""
+    rows = F.count("*").alias("rows")
+    return df.agg(rows, F.coalesce(F.sum(_width(df)), F.lit(0)).alias("bytes")).first().asDict()
+
+
 @dataclass(frozen=True)
 class Groups:
     """A settled table with one row per group, and how it may be joined to the groups' rows."""

@@ -4,10 +4,11 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from peerscore.functions.geo import EARTH_RADIUS_M
 from peerscore.operators import circles as c
-from tests.helpers import plan
+from tests.helpers import optimized, plan
 
 PLACES = "place_id int, latitude double, longitude double, radius_m string, distance_m string"
 CIRCLES = "circle_id int, latitude double, longitude double, radius_m double"
@@ -96,3 +97,98 @@ def test_many_circles_are_never_broadcast(spark, tmp_path, monkeypatch):
     found = c.circle_members(spark.read.parquet(str(tmp_path / "places")), spark.read.parquet(str(tmp_path / "circles")))
     joins = [line for line in plan(found).splitlines() if "Join [_level" in line and "Inner" in line]
     assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
+
+
+def brute(places, circles):
+    """Pairs by all distances, rounded to the millimetre."""
+    return {
+        (place_id, circle_id) for place_id, lat, lon, *_ in places for circle_id, at, along, radius in circles
+        if None not in (lat, lon, at, along, radius) and radius >= 0 and -90 <= lat <= 90
+        and round(metres((lat, lon), (at, along)), 3) <= radius
+    }
+
+
+def pairs(spark, places, circles, **more):
+    found = c.circle_members(
+        spark.createDataFrame(places, PLACES), spark.createDataFrame(circles, CIRCLES), **more
+    ).select("place_id", "circle_id").collect()
+    assert len(found) == len(set(found))
+    return {tuple(r) for r in found}
+
+
+@pytest.mark.parametrize(
+    ("part_places", "parts", "hot_rows"), [(8, 500_000, 1_000_000), (8, 500, 1_000_000), (4, 500_000, 20)]
+)
+def test_crowded_cells_are_met_by_part(spark, monkeypatch, part_places, parts, hot_rows):
+    """Also at the poles and across 180 degrees, with larger parts where there are many, and hot ones."""
+    monkeypatch.setattr(c, "is_small", lambda size: False)
+    monkeypatch.setattr(c, "PART_PLACES", part_places)
+    monkeypatch.setattr(c, "PARTS", parts)
+    places, circles = rows()
+    places += [(2000 + i, 13.7, 100.5, "", "") for i in range(30)]  # one spot
+    assert pairs(spark, places, circles, hot_rows=hot_rows) == brute(places, circles)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_the_rounded_distance_decides_at_the_edge(spark, monkeypatch, small):
+    monkeypatch.setattr(c, "is_small", lambda size: small)
+    monkeypatch.setattr(c, "PART_PLACES", 4)
+    rng = random.Random(5)
+    places, circles = [], []
+    while len(circles) < 90:
+        centre, place = spot(rng), spot(rng)
+        if rng.random() < 0.5:
+            place = (max(-90.0, min(90.0, centre[0] + rng.gauss(0, 0.001))), centre[1] + rng.gauss(0, 0.001))
+        d = metres(centre, place)
+        if d < 9e6 and abs(d * 1000 % 1 - 0.5) > 0.2:
+            n = len(places)
+            places.append((n, *place, "", ""))
+            circles += [(3 * n + k, *centre, round(d, 3) + 0.001 * k - 0.001) for k in range(3) if d > 0.002]
+    expected = brute(places, circles)
+    assert sum((p, 3 * p + 1) in expected for p, *_ in places) > 20
+    assert pairs(spark, places, circles) == expected
+
+
+def test_longitudes_that_went_around_often(spark, monkeypatch):
+    places = [(1, 0.0, 3.6e8, "", ""), (2, 0.0, 3.6e8 + 1, "", ""), (3, 0.0, 0.001, "", ""), (4, 0.0, math.inf, "", "")]
+    circles = [(1, 0.0, 0.0, 1000.0), (2, 0.0, -7.2e8, 1000.0), (3, 0.0, math.inf, 1000.0)]
+    expected = {(1, 1), (1, 2), (3, 1), (3, 2)}
+    assert pairs(spark, places, circles) == expected
+    monkeypatch.setattr(c, "is_small", lambda size: False)
+    monkeypatch.setattr(c, "PART_PLACES", 1)
+    assert pairs(spark, places, circles) == expected
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_distances_are_worked_out_at_the_edge_only(spark, monkeypatch, small):
+    monkeypatch.setattr(c, "is_small", lambda size: small)
+    monkeypatch.setattr(c, "metres_between", lambda *at: F.raise_error(F.concat_ws(" ", *at)).cast("double"))
+    places, circles = rows()
+    circles = [r for r in circles if r[3] and r[3] >= 30.0]  # those of radius 0 have places on their edge
+    assert len(pairs(spark, places, circles)) > 1000
+
+
+def test_cells_of_a_circle_are_worked_out_once(spark):
+    """Spark would work out what it explodes once per use, and again for a test for empty arrays."""
+    _, circles = rows()
+    given = spark.createDataFrame(circles, CIRCLES).selectExpr(
+        "circle_id", "latitude AS _lat", "longitude AS _lon", "radius_m AS _radius"
+    )
+    steps = optimized(c._covered(given))
+    assert steps.count("sequence(") == 2
+    assert steps.count("POWER(") < 20
+
+
+def test_circles_meet_few_places_outside_of_them(spark, monkeypatch):
+    """In a crowded cell, places of parts that a circle doesn't reach don't meet it."""
+    monkeypatch.setattr(c, "is_small", lambda size: False)
+    monkeypatch.setattr(c, "PART_PLACES", 16)
+    rng = random.Random(2)
+    places = [(i, rng.uniform(-3, 3), rng.uniform(-3, 3), "", "") for i in range(4000)]
+    circles = [(i, rng.uniform(-2, 2), rng.uniform(-2, 2), 110_000.0) for i in range(40)]
+    within = pairs(spark, places, circles)
+    assert within == brute(places, circles)
+    # From here on every pair that meets is within, so what meets is returned. Parts are asked first.
+    lines = iter([c._square, lambda *at: F.lit(0.0)])
+    monkeypatch.setattr(c, "_square", lambda *at: next(lines)(*at))
+    assert len(within) < len(pairs(spark, places, circles)) < 2 * len(within)
